@@ -22,11 +22,12 @@ def is_number(value: Column | str) -> Column:
 
 
 def one_decimal(value: Column | str) -> Column:
-    return F.format_string("%.1f", F.round(value, 1))
+    """Text for reading. Halves are rounded up, so keep numbers to compute with."""
+    return F.format_string("%.1f", value)
 
 
 def two_decimals(value: Column | str) -> Column:
-    return F.format_string("%.2f", F.round(value, 2))
+    return F.format_string("%.2f", value)
 
 
 def time_text(value: Column | None = None) -> Column:

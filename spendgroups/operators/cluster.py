@@ -18,9 +18,13 @@ from spendgroups.operators.columns import split_rejects
 from spendgroups.schema import FEATURES, INCOME, K_DEFAULT, K_MAX, K_MIN, NUMERIC, SCORE, SEED
 from spendgroups.session import checkpointed
 
-# Up to this many distinct points are always grouped before the fit.
-FEW_POINTS = 1_000_000
-POINTS_PER_PARTITION = 250_000
+# A table of up to this many rows is put in a fixed order before the fit.
+FEW_ROWS = 1_000_000
+ROWS_PER_PARTITION = 250_000
+# Points are split into about this many copies each, as few as will do.
+COPIES = (20, 200, 2000)
+# How far the copies may overstate the spread of the rows.
+EXCESS = 1.05
 
 
 @dataclass
@@ -98,15 +102,23 @@ def grouping_stages(k: int = K_DEFAULT, seed: int = SEED) -> Pipeline:
 class Training:
     """A table made ready for one or more fits.
 
-    The feature columns are read from the source once. If the table has far
-    fewer distinct points than rows, as whole incomes and scores do, the fits
-    run on the distinct points weighted by their row counts: the cost to
+    The feature columns are read from the source once. What the fits run on
+    depends on the table, and is told by ``mode``:
+
+    ``few``: the rows, in an order set by their values, so that a small table
+    gives the same model however its files are laid out.
+
+    ``points``: the distinct points, weighted by their row counts, if there are
+    far fewer of them than rows, as with whole incomes and scores. The cost to
     minimise is the same, and an iteration no longer depends on the row count.
-    Points are partitioned by their values, so that a table gives the same
-    model however its files are laid out. Otherwise the fits run on all rows.
+    Since the starting centres are drawn without regard to weights, a point is
+    split into copies in proportion to its weight. Rare points still count as one
+    copy; if that would overstate the spread of the rows, this mode is not used.
+
+    ``rows``: all rows, as they lie.
     """
 
-    def __init__(self, df: DataFrame, grouped: bool | None = None):
+    def __init__(self, df: DataFrame, mode: str | None = None):
         ok, _ = split_rejects(df)
         extra = [c for c in NUMERIC if c in df.columns and c not in FEATURES]
         rows = ok.select(*extra, *[F.col(c).cast("double").alias(c) for c in FEATURES])
@@ -116,23 +128,55 @@ class Training:
             if self.n_rows == 0:
                 raise ValueError("no row has both an income and a score")
             self.scaling = Pipeline(stages=scaling_stages()).fit(rows)
-            if grouped is None:
-                grouped = self.n_points <= max(FEW_POINTS, self.n_rows // 2)
-            self.grouped = grouped
-            if grouped:
-                parts = math.ceil(max(self.n_points, 1) / POINTS_PER_PARTITION)
-                points = (
-                    rows.groupBy(*FEATURES)
-                    .agg(F.count(F.lit(1)).cast("double").alias("weight"))
-                    .repartition(parts, *FEATURES)
-                    .sortWithinPartitions(*FEATURES)
-                )
-            else:
-                points = rows.select(*FEATURES, F.lit(1.0).alias("weight"))
-            self.points = self.scaling.transform(checkpointed(points))
+            plain = rows.select(*FEATURES, F.lit(1.0).alias("weight"))
+            prepared, self.mode = None, mode
+            if mode is None and self.n_rows <= FEW_ROWS:
+                self.mode = "few"
+            if self.mode in (None, "points"):
+                prepared = self._points(rows, forced=mode == "points")
+                self.mode = "rows" if prepared is None else "points"
+            if self.mode == "few":
+                prepared = _in_order(checkpointed(plain), self.n_rows)
+            elif self.mode == "rows":
+                prepared = checkpointed(plain)
+            self.points = self.scaling.transform(prepared)
         finally:
             rows.unpersist()
 
+    def _points(self, rows: DataFrame, forced: bool) -> DataFrame | None:
+        """Weighted points to fit on, or None if the rows are to be preferred."""
+        if not forced and 2 * COPIES[0] * self.n_points > self.n_rows:
+            return None
+        points = checkpointed(
+            rows.groupBy(*FEATURES).agg(F.count(F.lit(1)).cast("double").alias("weight"))
+        )
+        scaler = self.scaling.stages[-1]
+        z = [
+            (F.col(c) - float(m)) / float(s or 1)
+            for c, m, s in zip(FEATURES, scaler.mean, scaler.std)
+        ]
+        square = squared_distance(z, [0.0] * len(z))
+        share = {m: self.n_rows / (m * max(self.n_points, 1)) for m in COPIES}
+        copies = {
+            m: F.greatest(F.lit(1), F.round(F.col("weight") / s)).cast("int")
+            for m, s in share.items()
+        }
+        sums = points.agg(
+            F.sum(F.col("weight") * square).alias("spread"),
+            *[F.sum(c).alias(f"n_{m}") for m, c in copies.items()],
+            *[F.sum(c * share[m] * square).alias(f"spread_{m}") for m, c in copies.items()],
+        ).first()
+        for m in COPIES:
+            fair = sums[f"spread_{m}"] <= EXCESS * sums["spread"]
+            if forced or (fair and 2 * sums[f"n_{m}"] <= self.n_rows):
+                copied = (
+                    points.withColumn("_copies", copies[m])
+                    .withColumn("weight", F.col("weight") / F.col("_copies"))
+                    .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+                )
+                return _in_order(copied, sums[f"n_{m}"], "_copy").drop("_copies", "_copy")
+        return None
+
     def _measure(self, rows: DataFrame, cols: Sequence[str]) -> None:
         ranges = [
             F.struct(
@@ -151,7 +195,7 @@ class Training:
         self.domain = [facts[f"range_{c}"].asDict() for c in cols]
 
     def kmeans(self, k: int, seed: int = SEED) -> KMeansModel:
-        weight = "weight" if self.grouped else None
+        weight = "weight" if self.mode == "points" else None
         return kmeans_stage(_checked_k(k), seed, weight).fit(self.points)
 
     def fit(self, k: int = K_DEFAULT, seed: int = SEED) -> GroupModel:
@@ -173,7 +217,7 @@ class Training:
             kmeans.transform(self.points)
             .groupBy("prediction")
             .agg(
-                F.sum("weight").cast("bigint").alias("n_rows"),
+                F.round(F.sum("weight")).cast("bigint").alias("n_rows"),
                 (F.sum(F.col("weight") * F.col(INCOME)) / F.sum("weight")).alias("mean_income"),
                 (F.sum(F.col("weight") * F.col(SCORE)) / F.sum("weight")).alias("mean_score"),
             )
@@ -187,11 +231,17 @@ class Training:
         return model
 
 
+def _in_order(points: DataFrame, size: int, *more: str) -> DataFrame:
+    """Rows placed in partitions, and sorted there, by their values alone."""
+    parts = math.ceil(size / ROWS_PER_PARTITION)
+    return points.repartition(parts, *FEATURES, *more).sortWithinPartitions(*FEATURES, *more)
+
+
 def fit_groups(
-    df: DataFrame, k: int = K_DEFAULT, seed: int = SEED, grouped: bool | None = None
+    df: DataFrame, k: int = K_DEFAULT, seed: int = SEED, mode: str | None = None
 ) -> GroupModel:
     """Fit on the rows that have both features."""
-    return Training(df, grouped).fit(k, seed)
+    return Training(df, mode).fit(k, seed)
 
 
 def assign_groups(df: DataFrame, model: GroupModel) -> DataFrame:
@@ -207,19 +257,19 @@ def elbow_sweep(
     df: DataFrame,
     ks: Iterable[int] = range(K_MIN, K_MAX + 1),
     seed: int = SEED,
-    grouped: bool | None = None,
+    mode: str | None = None,
 ) -> DataFrame:
     """Cost of a fit for each K: ``(k, cost)``.
 
-    Scaling does not depend on K and is done once. Fits on distinct points are
-    small, so several run side by side; fits on all rows run one after another.
+    Scaling does not depend on K and is done once. Fits on few rows or on points
+    are small, so several run side by side; fits on all rows run one by one.
     """
-    training = Training(df, grouped)
+    training = Training(df, mode)
 
     def cost(k: int) -> tuple[int, float]:
         return k, float(training.kmeans(k, seed).summary.trainingCost)
 
-    with ThreadPoolExecutor(4 if training.grouped else 1) as pool:
+    with ThreadPoolExecutor(1 if training.mode == "rows" else 4) as pool:
         costs = list(pool.map(inheritable_thread_target(df.sparkSession)(cost), ks))
     return df.sparkSession.createDataFrame(costs, "k int, cost double")
 

@@ -10,18 +10,26 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spendgroups.functions.numbers import is_number, number
-from spendgroups.operators.quantiles import exact_quantiles, value_counts, with_facts
+from spendgroups.operators.quantiles import (
+    ValueCounts,
+    count_values,
+    exact_quantiles,
+    long_values,
+)
 from spendgroups.schema import INCOME, NUMERIC, SCORE
 
+# Beyond this many bandwidths the kernel is exactly zero as a double.
+KERNEL_REACH = 39.0
+
 
 def _whole_columns(df: DataFrame, cols: Sequence[str]) -> list[str]:
     whole = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
     return [c for c in cols if isinstance(df.schema[c].dataType, whole)]
 
 
-def _bin_edges(counts: DataFrame, bins: int | str, whole: Sequence[str]) -> DataFrame:
+def _bin_edges(counts: ValueCounts, bins: int | str, whole: Sequence[str]) -> DataFrame:
     """``(column, first, last, bins)``, one row per column."""
-    edges = counts.groupBy("column").agg(
+    edges = counts.table.groupBy("column").agg(
         F.min("value").alias("first"), F.max("value").alias("last")
     )
     if bins != "auto":
@@ -54,7 +62,7 @@ def histogram(
     widths, the latter held above half the square-root width, and at least 1 for
     integer columns. The last bin is closed. Empty bins are listed.
     """
-    counts = value_counts(df, cols)
+    counts = count_values(df, cols)
     edges = _bin_edges(counts, bins, _whole_columns(df, cols))
     first, last, number_of = F.col("first"), F.col("last"), F.col("bins")
     step = (last - first) / number_of
@@ -74,7 +82,7 @@ def histogram(
     )
     shape = ["column", "first", "last", "bins"]
     filled = (
-        counts.join(F.broadcast(edges), "column")
+        counts.table.join(F.broadcast(edges), "column")
         .withColumn("guess", guess)
         .select(*shape, place.alias("bin"), "n")
     )
@@ -107,10 +115,11 @@ def density_curve(
 
     The bandwidth is the sample deviation times ``n^(-1/5)``. ``height`` is the
     density scaled to a histogram of ``bins`` bins. A column that does not vary
-    has no curve. Each distinct value adds to each point once, however many rows
-    hold it; ``grain`` bounds the number of distinct values.
+    has no curve. A distinct value adds to a point once, however many rows hold
+    it, and only to points it can reach; as the bandwidth shrinks with the row
+    count, those become few. ``grain`` bounds the number of distinct values.
     """
-    counts = value_counts(df, cols, grain=grain)
+    counts = count_values(df, cols, grain=grain).table
     value, n = F.col("value"), F.col("n")
     centre = counts.groupBy("column").agg(
         F.sum("n").cast("double").alias("total"),
@@ -130,28 +139,51 @@ def density_curve(
         )
         .drop("squares")
     )
-    x = F.col("first") + F.col("point") * (F.col("last") - F.col("first")) / (points - 1)
     facts = ["column", "total", "first", "last", "width"]
+    step = (F.col("last") - F.col("first")) / (points - 1)
+    x = F.col("first") + F.col("point") * step
+    reach = KERNEL_REACH * F.col("width")
+    nearest_points = F.sequence(
+        F.greatest(F.lit(0), F.ceil((value - reach - F.col("first")) / step).cast("int")),
+        F.least(
+            F.lit(points - 1), F.floor((value + reach - F.col("first")) / step).cast("int")
+        ),
+        F.lit(1),
+    )
+    felt = (
+        counts.join(F.broadcast(spread), "column")
+        .withColumn("point", F.explode(nearest_points))
+        .select(
+            *facts,
+            "point",
+            (n * F.exp(-F.pow((x - value) / F.col("width"), 2) / 2)).alias("mass"),
+        )
+    )
+    grid = spread.select(
+        *facts,
+        F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"),
+        F.lit(0.0).alias("mass"),
+    )
     scale = F.col("total") * F.col("width") * math.sqrt(2 * math.pi)
+    density = F.col("mass") / scale
     return (
-        counts.join(F.broadcast(spread), "column")
-        .withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
+        felt.union(grid)
         .groupBy(*facts, "point")
-        .agg(F.sum(n * F.exp(-F.pow((x - value) / F.col("width"), 2) / 2)).alias("mass"))
+        .agg(F.sum("mass").alias("mass"))
         .select(
             "column",
             "point",
             x.alias("x"),
-            (F.col("mass") / scale).alias("density"),
+            density.alias("density"),
             (
-                F.col("mass") / scale * F.col("total") * (F.col("last") - F.col("first")) / bins
+                density * F.col("total") * (F.col("last") - F.col("first")) / bins
             ).alias("height"),
         )
     )
 
 
-def _fences(counts: DataFrame, by: str | None) -> DataFrame:
-    quartiles = exact_quantiles(counts, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by)
+def _fences(counts: ValueCounts) -> DataFrame:
+    quartiles = exact_quantiles(counts, {"q1": 0.25, "median": 0.5, "q3": 0.75})
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     return quartiles.withColumns(
         {"low_fence": F.col("q1") - reach, "high_fence": F.col("q3") + reach}
@@ -166,22 +198,20 @@ def box_stats(
     The whiskers ``lo`` and ``hi`` are the outermost values within 1.5 times the
     quartile distance of the box; ``n_out`` counts the rows beyond them.
     """
-    keys = ["column"] if by is None else ["column", by]
-    counts = value_counts(df, cols, by)
+    counts = count_values(df, cols, by)
     value = F.col("value")
     inside = value.between(F.col("low_fence"), F.col("high_fence"))
     return (
-        with_facts(counts, _fences(counts, by), by)
-        .groupBy(*keys, "q1", "median", "q3")
+        counts.with_facts(counts.table, _fences(counts))
+        .groupBy(*counts.keys, "total", "q1", "median", "q3")
         .agg(
-            F.sum("n").alias("n"),
             F.min(F.when(inside, value)).alias("least"),
             F.max(F.when(inside, value)).alias("greatest"),
             F.sum(F.when(inside, 0).otherwise(F.col("n"))).alias("n_out"),
         )
         .select(
-            *keys,
-            "n",
+            *counts.keys,
+            F.col("total").alias("n"),
             "q1",
             "median",
             "q3",
@@ -199,16 +229,14 @@ def box_outliers(
     keep: Sequence[str] = (),
 ) -> DataFrame:
     """Rows beyond the whiskers: ``(keep..., column, [by], value)``."""
+    counts = count_values(df, cols, by)
+    facts = _fences(counts).select(*counts.keys, "low_fence", "high_fence")
     groups = [] if by is None else [by]
-    facts = _fences(value_counts(df, cols, by), by).select(
-        "column", *groups, "low_fence", "high_fence"
-    )
-    values = df.select(*keep, *groups, *[number(c).alias(c) for c in cols])
-    rows = values.unpivot([*keep, *groups], list(cols), "column", "value")
+    rows = long_values(df, cols, [*keep, *groups])
     return (
-        with_facts(rows.where(F.col("value").isNotNull()), facts, by)
+        counts.with_facts(rows, facts)
         .where(~F.col("value").between(F.col("low_fence"), F.col("high_fence")))
-        .select(*keep, "column", *groups, "value")
+        .select(*keep, *counts.keys, "value")
     )
 
 

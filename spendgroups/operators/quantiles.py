@@ -1,84 +1,131 @@
 """Counts of equal values, and exact quantiles computed from them.
 
 Equal values are counted first, so a value that a third of all rows share is a
-single row from then on. No group is ever sorted or held by one task: the values
-of a column are cut into slices of about equal size, the counts of the slices
-show which slices hold the wanted ranks, and only those are put in order.
+single row from then on. The counts are written to the shared folder: the source
+is read once, whatever is computed from them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spendgroups.functions.numbers import number
 from spendgroups.schema import NUMERIC
+from spendgroups.session import checkpointed
 
+# Up to this many counted values fit into one task, and facts about them into a broadcast.
+FEW_VALUES = 200_000
 SLICES = 256
 SALTS = 32
 
 
-def value_counts(
+@dataclass(frozen=True)
+class ValueCounts:
+    """``(column, [by], value, n)``, with the number of such rows."""
+
+    table: DataFrame
+    size: int
+    by: str | None = None
+
+    @property
+    def keys(self) -> list[str]:
+        return ["column"] if self.by is None else ["column", self.by]
+
+    @property
+    def few(self) -> bool:
+        return self.size <= FEW_VALUES
+
+    def with_facts(self, rows: DataFrame, facts: DataFrame) -> DataFrame:
+        """Join ``facts``, one row per column and group, to ``rows``.
+
+        There are no more facts than counted values, and without groups no more
+        than columns; then they are broadcast. Otherwise one group may hold a
+        large part of the rows, so the join is spread over salts by value.
+        """
+        if self.by is None or self.few:
+            return rows.join(F.broadcast(facts), self.keys)
+        salt = F.pmod(F.xxhash64("value"), F.lit(SALTS)).cast("int")
+        copies = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+        return (
+            rows.withColumn("_salt", salt)
+            .join(facts.withColumn("_salt", copies), [*self.keys, "_salt"])
+            .drop("_salt")
+        )
+
+
+def long_values(
+    df: DataFrame, cols: Sequence[str], keep: Sequence[str] = (), grain: float | None = None
+) -> DataFrame:
+    """``(keep..., column, value)``, one row per number."""
+    values = {name: number(name) for name in cols}
+    if grain is not None:
+        values = {name: F.round(value / grain) * grain for name, value in values.items()}
+    table = df.select(*keep, *[value.alias(name) for name, value in values.items()])
+    return table.unpivot(list(keep), list(cols), "column", "value").where(
+        F.col("value").isNotNull()
+    )
+
+
+def count_values(
     df: DataFrame,
     cols: Sequence[str] = NUMERIC,
     by: str | None = None,
     grain: float | None = None,
-) -> DataFrame:
-    """``(column, [by], value, n)`` for the numbers in ``cols``, from one scan.
+) -> ValueCounts:
+    """Count equal numbers in ``cols``, in one scan.
 
     ``grain`` rounds values to its multiples, which moves each by at most half
     of it; for columns with very many distinct values. Rows without a ``by``
     value belong to no group and are left out.
     """
     keys = [] if by is None else [by]
-    values = {name: number(name) for name in cols}
-    if grain is not None:
-        values = {name: F.round(value / grain) * grain for name, value in values.items()}
-    table = df.select(*keys, *[value.alias(name) for name, value in values.items()])
     if by is not None:
-        table = table.where(F.col(by).isNotNull())
-    return (
-        table.unpivot(keys, list(cols), "column", "value")
-        .where(F.col("value").isNotNull())
+        df = df.where(F.col(by).isNotNull())
+    counts = (
+        long_values(df, cols, keys, grain)
         .groupBy("column", *keys, "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+    table = checkpointed(counts)
+    return ValueCounts(table, table.count(), by)
 
 
-def with_facts(rows: DataFrame, facts: DataFrame, by: str | None = None) -> DataFrame:
-    """Join ``facts``, one row per column and group, to ``rows``.
+def exact_quantiles(counts: ValueCounts, probs: Mapping[str, float]) -> DataFrame:
+    """Quantiles, linear between neighbours.
 
-    Without groups there are only as many facts as columns, so they are
-    broadcast. The number of groups has no bound, and one group may hold a large
-    part of the rows, so with groups the join is spread over salts by value.
+    Result: ``(column, [by], total, <one column per name in probs>)``.
     """
-    if by is None:
-        return rows.join(F.broadcast(facts), "column")
-    salt = F.pmod(F.xxhash64("value"), F.lit(SALTS)).cast("int")
-    copies = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    return (
-        rows.withColumn("_salt", salt)
-        .join(facts.withColumn("_salt", copies), ["column", by, "_salt"])
-        .drop("_salt")
+    return _gathered(counts, probs) if counts.few else _sliced(counts, probs)
+
+
+def _gathered(counts: ValueCounts, probs: Mapping[str, float]) -> DataFrame:
+    """For few values: the built-in aggregate, which holds a group in one task."""
+    found = counts.table.groupBy(*counts.keys).agg(
+        F.sum("n").alias("total"),
+        F.percentile("value", list(probs.values()), F.col("n")).alias("_found"),
     )
+    picked = [F.col("_found")[i].alias(name) for i, name in enumerate(probs)]
+    return found.select(*counts.keys, "total", *picked)
 
 
-def exact_quantiles(
-    counts: DataFrame, probs: dict[str, float], by: str | None = None
-) -> DataFrame:
-    """Quantiles of counted values, linear between neighbours.
+def _sliced(counts: ValueCounts, probs: Mapping[str, float]) -> DataFrame:
+    """For any number of values: no group is sorted or held by one task.
 
-    Result: ``(column, [by], total, <one column per name in probs>)``.
+    The values of a column are cut into slices of about equal size, the totals of
+    the slices show which of them hold the wanted ranks, and only those are put
+    in order.
     """
-    keys = ["column"] if by is None else ["column", by]
-    steps = [i / SLICES for i in range(1, SLICES)]
-    cuts = counts.groupBy("column").agg(
-        F.percentile_approx("value", steps, 10_000).alias("cuts")
+    keys = counts.keys
+    steps = ", ".join(f"{i / SLICES!r}D" for i in range(1, SLICES))
+    cuts = counts.table.groupBy("column").agg(
+        F.expr(f"percentile_approx(value, array({steps}), 10000)").alias("cuts")
     )
     # One row per column: the list of columns bounds this broadcast.
-    sliced = counts.join(F.broadcast(cuts), "column").select(
+    sliced = counts.table.join(F.broadcast(cuts), "column").select(
         *keys,
         "value",
         "n",
@@ -90,33 +137,29 @@ def exact_quantiles(
     slices = (
         sliced.groupBy(*keys, "slice")
         .agg(F.sum("n").alias("held"))
-        .withColumn("before", F.sum("held").over(upto) - F.col("held"))
-        .withColumn("total", F.sum("held").over(group))
+        .withColumns(
+            {"upto": F.sum("held").over(upto), "total": F.sum("held").over(group)}
+        )
+        .withColumn("before", F.col("upto") - F.col("held"))
     )
     spots = {name: F.lit(p) * (F.col("total") - 1) for name, p in probs.items()}
     ranks = F.array(*[end for s in spots.values() for end in (F.floor(s), F.ceil(s))])
     wanted = slices.where(
-        F.exists(
-            ranks,
-            lambda r: (r >= F.col("before")) & (r < F.col("before") + F.col("held")),
-        )
-    ).drop("held")
+        F.exists(ranks, lambda r: (r >= F.col("before")) & (r < F.col("upto")))
+    ).select(*keys, "slice", "before", "total")
 
     inside = (
         Window.partitionBy(*keys, "slice")
         .orderBy("value")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    ranked = (
-        sliced.join(wanted, [*keys, "slice"])
-        .withColumn("end", F.col("before") + F.sum("n").over(inside))
-        .withColumn("start", F.col("end") - F.col("n"))
+    ranked = sliced.join(wanted, [*keys, "slice"]).withColumn(
+        "end", F.col("before") + F.sum("n").over(inside)
     )
 
-    def at(rank):
-        return F.max(
-            F.when((rank >= F.col("start")) & (rank < F.col("end")), F.col("value"))
-        )
+    def at(rank: Column) -> Column:
+        holds = (rank >= F.col("end") - F.col("n")) & (rank < F.col("end"))
+        return F.max(F.when(holds, F.col("value")))
 
     ends = {}
     for name, spot in spots.items():

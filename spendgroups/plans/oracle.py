@@ -265,7 +265,7 @@ ORACLE_SQL = {
     "correlation_matrix": f"""WITH {DIRTY}, r AS ({CORRELATIONS})
         SELECT a, b, ROUND(r, 6) AS r FROM r""",
     "correlation_labels": f"""WITH {DIRTY}, r AS ({CORRELATIONS})
-        SELECT a, b, printf('%.2f', ROUND(r, 2)) AS label FROM r""",
+        SELECT a, b, printf('%.2f', r) AS label FROM r""",
     "table_overview": f"""WITH {DIRTY}, described AS ({DESCRIBED})
         SELECT (SELECT COUNT(*) FROM dirty) AS n_rows,
                (SELECT COUNT(*) * 5 - COUNT(CustomerID) - COUNT(Gender) - COUNT(Age)
@@ -360,8 +360,8 @@ ORACLE_SQL = {
                ROUND(mean_score, 6) AS mean_score, code AS strategy, description, action
         FROM coded JOIN texts USING (code)""",
     "group_report_text": f"""WITH {BLOBS}, rows AS ({GROUP_ROWS})
-        SELECT group_id, printf('%.1f', ROUND(mean_income, 1)) AS mean_income,
-               printf('%.1f', ROUND(mean_score, 1)) AS mean_score,
+        SELECT group_id, printf('%.1f', mean_income) AS mean_income,
+               printf('%.1f', mean_score) AS mean_score,
                {_code("mean_income", "mean_score")} AS strategy FROM rows""",
     "group_report_from_fit": f"""WITH {BLOBS}, rows AS ({GROUP_ROWS})
         SELECT group_id, n_rows, ROUND(mean_income, 6) AS mean_income,
