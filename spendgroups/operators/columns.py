@@ -18,6 +18,7 @@ from spendgroups.schema import (
     SCORE,
     TRAIN_DOMAIN,
 )
+from spendgroups.session import broadcast_if_few
 
 
 def fill_missing_columns(df: DataFrame, defaults: Mapping[str, object] = DEFAULTS) -> DataFrame:
@@ -98,7 +99,8 @@ def lookup_ids(
     ``first_by`` names the order in which the first of several rows with the
     same id is taken; without it all of them are returned.
     """
-    found = df.join(ids.select(key), key, "left_semi")
+    listed = broadcast_if_few(ids.select(key).distinct())
+    found = df.join(listed, key, "left_semi")
     if first_by is None:
         return found
     row = F.struct(*df.columns)
@@ -113,4 +115,5 @@ def lookup_positions(
     df: DataFrame, positions: DataFrame, position: str = "position"
 ) -> DataFrame:
     """Rows at the listed 0-based positions of a table with a position column."""
-    return df.join(positions.select(position), position, "left_semi").select(*df.columns)
+    listed = broadcast_if_few(positions.select(position).distinct())
+    return df.join(listed, position, "left_semi").select(*df.columns)

@@ -1,4 +1,8 @@
-"""The tables behind the charts: histograms, densities, boxes, grids, counts."""
+"""The tables behind the charts: histograms, densities, boxes, grids, counts.
+
+Histograms, densities and boxes come from counts of equal values. Whoever wants
+more than one of them counts once and passes ``counts``.
+"""
 
 from __future__ import annotations
 
@@ -54,7 +58,10 @@ def _bin_edges(counts: ValueCounts, bins: int | str, whole: Sequence[str]) -> Da
 
 
 def histogram(
-    df: DataFrame, cols: Sequence[str] = NUMERIC, bins: int | str = 20
+    df: DataFrame,
+    cols: Sequence[str] = NUMERIC,
+    bins: int | str = 20,
+    counts: ValueCounts | None = None,
 ) -> DataFrame:
     """Equal bins from least to greatest value: ``(column, bin, lo, hi, n)``.
 
@@ -62,7 +69,7 @@ def histogram(
     widths, the latter held above half the square-root width, and at least 1 for
     integer columns. The last bin is closed. Empty bins are listed.
     """
-    counts = count_values(df, cols)
+    counts = counts or count_values(df, cols)
     edges = _bin_edges(counts, bins, _whole_columns(df, cols))
     first, last, number_of = F.col("first"), F.col("last"), F.col("bins")
     step = (last - first) / number_of
@@ -110,6 +117,7 @@ def density_curve(
     points: int = 200,
     bins: int = 20,
     grain: float | None = None,
+    counts: ValueCounts | None = None,
 ) -> DataFrame:
     """Gaussian density on an even grid: ``(column, point, x, density, height)``.
 
@@ -119,7 +127,7 @@ def density_curve(
     it, and only to points it can reach; as the bandwidth shrinks with the row
     count, those become few. ``grain`` bounds the number of distinct values.
     """
-    counts = count_values(df, cols, grain=grain).table
+    counts = (counts or count_values(df, cols, grain=grain)).table
     value, n = F.col("value"), F.col("n")
     centre = counts.groupBy("column").agg(
         F.sum("n").cast("double").alias("total"),
@@ -191,14 +199,17 @@ def _fences(counts: ValueCounts) -> DataFrame:
 
 
 def box_stats(
-    df: DataFrame, cols: Sequence[str] = NUMERIC, by: str | None = None
+    df: DataFrame,
+    cols: Sequence[str] = NUMERIC,
+    by: str | None = None,
+    counts: ValueCounts | None = None,
 ) -> DataFrame:
     """Boxes: ``(column, [by], n, q1, median, q3, lo, hi, n_out)``.
 
     The whiskers ``lo`` and ``hi`` are the outermost values within 1.5 times the
     quartile distance of the box; ``n_out`` counts the rows beyond them.
     """
-    counts = count_values(df, cols, by)
+    counts = counts or count_values(df, cols, by)
     value = F.col("value")
     inside = value.between(F.col("low_fence"), F.col("high_fence"))
     return (
@@ -227,9 +238,10 @@ def box_outliers(
     cols: Sequence[str] = NUMERIC,
     by: str | None = None,
     keep: Sequence[str] = (),
+    counts: ValueCounts | None = None,
 ) -> DataFrame:
     """Rows beyond the whiskers: ``(keep..., column, [by], value)``."""
-    counts = count_values(df, cols, by)
+    counts = counts or count_values(df, cols, by)
     facts = _fences(counts).select(*counts.keys, "low_fence", "high_fence")
     groups = [] if by is None else [by]
     rows = long_values(df, cols, [*keep, *groups])

@@ -7,20 +7,25 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spendgroups.functions.ranges import warning_list
 from spendgroups.functions.strategy import strategy, strategy_code
 from spendgroups.operators.cluster import GroupModel, assign_groups
 from spendgroups.operators.columns import split_rejects
-from spendgroups.schema import INCOME, SCORE
+from spendgroups.schema import INCOME, SCORE, TRAIN_DOMAIN
 
 
 def score_customers(
-    df: DataFrame, model: GroupModel, record: Mapping | None = None
+    df: DataFrame,
+    model: GroupModel,
+    record: Mapping | None = None,
+    check_range: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """``(scored, rejects)``; rejects lack an income or a score.
 
     A scored row has the columns of ``df`` and the group, the strategy for the
     customer's own values with its texts, the strategy for the group's means,
-    and, if the record of the model is given, its name and date.
+    and, if the record of the model is given, its name and date. ``check_range``
+    adds ``warnings`` about values outside the table the model was trained on.
     """
     good, rejects = split_rejects(df)
     codes = _group_strategies(model)
@@ -34,6 +39,9 @@ def score_customers(
     if record is not None:
         added["model_name"] = F.lit(record["name"])
         added["model_date"] = F.lit(record["date"])
+    if check_range:
+        domain = model.training_domain() or TRAIN_DOMAIN
+        added["warnings"] = warning_list({c: d for c, d in domain.items() if c in df.columns})
     return scored.withColumns(added).select(*df.columns, "group_id", *added), rejects
 
 

@@ -377,6 +377,19 @@ ORACLE_SQL = {
     "score_rejects": f"""WITH {DIRTY}
         SELECT CustomerID, Gender, CAST(Age AS INT) AS Age FROM numbers
         WHERE AnnualIncome IS NULL OR SpendingScore IS NULL""",
+    "score_with_warnings": f"""WITH {DIRTY}, {BLOBS}, box AS (
+          SELECT CAST(MIN(Age) AS DOUBLE) AS a0, CAST(MAX(Age) AS DOUBLE) AS a1,
+                 MIN(AnnualIncome) AS i0, MAX(AnnualIncome) AS i1,
+                 MIN(SpendingScore) AS s0, MAX(SpendingScore) AS s1 FROM blobs)
+        SELECT CustomerID, {_code("AnnualIncome", "SpendingScore")} AS customer_strategy,
+               concat_ws('; ',
+                 CASE WHEN Age < a0 OR Age > a1 THEN 'Age ' || CAST(CAST(Age AS INT) AS VARCHAR)
+                      || ' is outside ' || a0 || '-' || a1 END,
+                 CASE WHEN AnnualIncome < i0 OR AnnualIncome > i1 THEN 'AnnualIncome '
+                      || AnnualIncome || ' is outside ' || i0 || '-' || i1 END,
+                 CASE WHEN SpendingScore < s0 OR SpendingScore > s1 THEN 'SpendingScore '
+                      || SpendingScore || ' is outside ' || s0 || '-' || s1 END) AS warnings
+        FROM numbers, box WHERE AnnualIncome IS NOT NULL AND SpendingScore IS NOT NULL""",
     "model_round_trip": "SELECT COUNT(*) AS n_rows, CAST(0 AS BIGINT) AS n_different "
     "FROM customer",
     "model_registry": f"""WITH {BLOBS}

@@ -455,3 +455,13 @@ def score_rejects(spark, folder):
     dirty = fixtures.profile_dirty(spark, folder)
     _, rejects = scoring.score_customers(dirty, model)
     return rejects.select(CUSTOMER_ID, GENDER, AGE)
+
+
+@query
+def score_with_warnings(spark, folder):
+    model = fit_groups(fixtures.blobs(spark, folder), 5)
+    dirty = fixtures.profile_dirty(spark, folder)
+    scored, _ = scoring.score_customers(dirty, model, check_range=True)
+    return scored.select(
+        CUSTOMER_ID, "customer_strategy", F.array_join("warnings", "; ").alias("warnings")
+    )

@@ -5,7 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# A list of this many narrow rows is small enough to be sent to every executor.
+FEW_LISTED = 200_000
 
 
 def local_session(cores: int | str = 8, partitions: int = 8) -> SparkSession:
@@ -47,7 +51,16 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/spendgroups/{name}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df):
+def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder, with its lineage cut."""
     shared_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def broadcast_if_few(df: DataFrame, limit: int | None = None) -> DataFrame:
+    """``df``, marked for broadcast if a count shows it to be small.
+
+    Spark's own choice comes only after the large side of the join was shuffled.
+    """
+    limit = FEW_LISTED if limit is None else limit
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df

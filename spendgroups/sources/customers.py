@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from spendgroups.functions.numbers import number, time_text
 from spendgroups.schema import AGE, COLUMN_TYPES, CUSTOMER_ID, HEADER_MAP, customer_schema
+from spendgroups.session import broadcast_if_few, checkpointed
 
 
 def normalize_columns(df: DataFrame, names: Mapping[str, str] = HEADER_MAP) -> DataFrame:
@@ -81,7 +82,7 @@ def with_position(df: DataFrame, name: str = "position") -> DataFrame:
     """Add the 0-based row number in file order to a table read from files.
 
     File order is file name, then place in the file. Only the row count of each
-    block of a file is added up in one place, never rows.
+    block of a file is added up in one place, never rows; a first job counts them.
     """
     placed = df.withColumns(
         {
@@ -96,6 +97,7 @@ def with_position(df: DataFrame, name: str = "position") -> DataFrame:
         .agg(F.count(F.lit(1)).alias("_rows"), F.min("_row").alias("_first"))
         .withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
     )
+    blocks = broadcast_if_few(checkpointed(blocks))
     return (
         placed.join(blocks, ["_file", "_start"])
         .withColumn(name, F.col("_row") - F.col("_first") + F.col("_before"))
