@@ -7,9 +7,12 @@ is read once, whatever is computed from them.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +22,7 @@ from spendgroups.session import checkpointed
 
 # Up to this many counted values fit into one task, and facts about them into a broadcast.
 FEW_VALUES = 200_000
+FEW_GROUPS = 10_000
 SLICES = 256
 SALTS = 32
 
@@ -39,14 +43,21 @@ class ValueCounts:
     def few(self) -> bool:
         return self.size <= FEW_VALUES
 
+    @cached_property
+    def few_groups(self) -> bool:
+        """True if facts on each column and group are small enough to broadcast."""
+        if self.by is None or self.few:
+            return True
+        groups = self.table.select(*self.keys).distinct()
+        return groups.limit(FEW_GROUPS + 1).count() <= FEW_GROUPS
+
     def with_facts(self, rows: DataFrame, facts: DataFrame) -> DataFrame:
         """Join ``facts``, one row per column and group, to ``rows``.
 
-        There are no more facts than counted values, and without groups no more
-        than columns; then they are broadcast. Otherwise one group may hold a
-        large part of the rows, so the join is spread over salts by value.
+        Facts are broadcast if they are few. Otherwise, as one group may hold a
+        large part of the rows, the join is spread over salts by value.
         """
-        if self.by is None or self.few:
+        if self.few_groups:
             return rows.join(F.broadcast(facts), self.keys)
         salt = F.pmod(F.xxhash64("value"), F.lit(SALTS)).cast("int")
         copies = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
@@ -121,16 +132,15 @@ def _sliced(counts: ValueCounts, probs: Mapping[str, float]) -> DataFrame:
     """
     keys = counts.keys
     steps = ", ".join(f"{i / SLICES!r}D" for i in range(1, SLICES))
-    cuts = counts.table.groupBy("column").agg(
+    found = counts.table.groupBy("column").agg(
         F.expr(f"percentile_approx(value, array({steps}), 10000)").alias("cuts")
     )
-    # One row per column: the list of columns bounds this broadcast.
-    sliced = counts.table.join(F.broadcast(cuts), "column").select(
-        *keys,
-        "value",
-        "n",
-        F.size(F.filter("cuts", lambda cut: cut < F.col("value"))).alias("slice"),
+    # SLICES - 1 numbers per column. A cut made for one column does no harm to another.
+    cuts = sorted({cut for row in found.collect() for cut in row["cuts"]}) or [0.0]
+    slicer = Bucketizer(
+        splits=[-math.inf, *cuts, math.inf], inputCol="value", outputCol="slice"
     )
+    sliced = slicer.transform(counts.table).withColumn("slice", F.col("slice").cast("int"))
 
     group = Window.partitionBy(*keys)
     upto = group.orderBy("slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -153,6 +163,8 @@ def _sliced(counts: ValueCounts, probs: Mapping[str, float]) -> DataFrame:
         .orderBy("value")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    if counts.few_groups:
+        wanted = F.broadcast(wanted)
     ranked = sliced.join(wanted, [*keys, "slice"]).withColumn(
         "end", F.col("before") + F.sum("n").over(inside)
     )

@@ -21,10 +21,12 @@ def table(spark, values):
     return spark.createDataFrame(rows, "AnnualIncome double, g int, SpendingScore double")
 
 
-@pytest.fixture(params=["gathered", "sliced"])
+@pytest.fixture(params=["gathered", "sliced", "sliced, many groups"])
 def path(request, monkeypatch):
-    if request.param == "sliced":
+    if request.param != "gathered":
         monkeypatch.setattr(q, "FEW_VALUES", 0)
+    if "many" in request.param:
+        monkeypatch.setattr(q, "FEW_GROUPS", 0)
     return request.param
 
 
