@@ -9,6 +9,8 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -111,6 +113,43 @@ def histogram(
     )
 
 
+def _spread_rows(placed: DataFrame, points: int) -> DataFrame:
+    """``(column, point, mass)``: what each value adds to each point it reaches."""
+    value, width, first = F.col("value"), F.col("width"), F.col("first")
+    step = (F.col("last") - first) / (points - 1)
+    reach = KERNEL_REACH * width
+    reached = F.sequence(
+        F.greatest(F.lit(0), F.ceil((value - reach - first) / step).cast("int")),
+        F.least(F.lit(points - 1), F.floor((value + reach - first) / step).cast("int")),
+        F.lit(1),
+    )
+    distance = (first + F.col("point") * step - value) / width
+    return placed.withColumn("point", F.explode(reached)).select(
+        "column", "point", (F.col("n") * F.exp(-F.pow(distance, 2) / 2)).alias("mass")
+    )
+
+
+def _spread_batches(placed: DataFrame, points: int) -> DataFrame:
+    """The same, added up within each partition; for many values."""
+
+    def add_up(batches):
+        sums: dict[str, np.ndarray] = {}
+        for batch in batches:
+            for column, part in batch.groupby("column"):
+                grid = np.linspace(part["first"].iloc[0], part["last"].iloc[0], points)
+                mass = sums.setdefault(column, np.zeros(points))
+                value, width = part["value"].to_numpy(), part["width"].iloc[0]
+                n = part["n"].to_numpy(dtype=float)
+                for i, x in enumerate(grid):
+                    u = (x - value) / width
+                    mass[i] += n @ np.exp(-u * u / 2)
+        for column, mass in sums.items():
+            yield pd.DataFrame({"column": column, "point": range(points), "mass": mass})
+
+    narrow = placed.select("column", "value", "n", "first", "last", "width")
+    return narrow.mapInPandas(add_up, "column string, point int, mass double")
+
+
 def density_curve(
     df: DataFrame,
     cols: Sequence[str] = NUMERIC,
@@ -127,9 +166,9 @@ def density_curve(
     it, and only to points it can reach; as the bandwidth shrinks with the row
     count, those become few. ``grain`` bounds the number of distinct values.
     """
-    counts = (counts or count_values(df, cols, grain=grain)).table
+    counts = counts or count_values(df, cols, grain=grain)
     value, n = F.col("value"), F.col("n")
-    centre = counts.groupBy("column").agg(
+    centre = counts.table.groupBy("column").agg(
         F.sum("n").cast("double").alias("total"),
         (F.sum(n * value) / F.sum(n)).alias("mean"),
         F.min("value").alias("first"),
@@ -137,7 +176,7 @@ def density_curve(
     )
     square = F.pow(value - F.col("mean"), 2)
     spread = (
-        counts.join(F.broadcast(centre), "column")
+        counts.table.join(F.broadcast(centre), "column")
         .groupBy("column", "total", "first", "last")
         .agg(F.sum(n * square).alias("squares"))
         .where((F.col("total") > 1) & (F.col("squares") > 0))
@@ -147,45 +186,25 @@ def density_curve(
         )
         .drop("squares")
     )
-    facts = ["column", "total", "first", "last", "width"]
-    step = (F.col("last") - F.col("first")) / (points - 1)
-    x = F.col("first") + F.col("point") * step
-    reach = KERNEL_REACH * F.col("width")
-    nearest_points = F.sequence(
-        F.greatest(F.lit(0), F.ceil((value - reach - F.col("first")) / step).cast("int")),
-        F.least(
-            F.lit(points - 1), F.floor((value + reach - F.col("first")) / step).cast("int")
-        ),
-        F.lit(1),
-    )
-    felt = (
-        counts.join(F.broadcast(spread), "column")
-        .withColumn("point", F.explode(nearest_points))
-        .select(
-            *facts,
-            "point",
-            (n * F.exp(-F.pow((x - value) / F.col("width"), 2) / 2)).alias("mass"),
-        )
-    )
-    grid = spread.select(
-        *facts,
-        F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"),
-        F.lit(0.0).alias("mass"),
-    )
+    x = F.col("first") + F.col("point") * (F.col("last") - F.col("first")) / (points - 1)
+    placed = counts.table.join(F.broadcast(spread), "column")
+    felt = (_spread_rows if counts.few else _spread_batches)(placed, points)
+    every_point = F.explode(F.sequence(F.lit(0), F.lit(points - 1)))
+    grid = spread.select("column", every_point.alias("point"), F.lit(0.0).alias("mass"))
     scale = F.col("total") * F.col("width") * math.sqrt(2 * math.pi)
-    density = F.col("mass") / scale
+    bin_width = (F.col("last") - F.col("first")) / bins
     return (
         felt.union(grid)
-        .groupBy(*facts, "point")
+        .groupBy("column", "point")
         .agg(F.sum("mass").alias("mass"))
+        .join(F.broadcast(spread), "column")
+        .withColumn("density", F.col("mass") / scale)
         .select(
             "column",
             "point",
             x.alias("x"),
-            density.alias("density"),
-            (
-                density * F.col("total") * (F.col("last") - F.col("first")) / bins
-            ).alias("height"),
+            "density",
+            (F.col("density") * F.col("total") * bin_width).alias("height"),
         )
     )
 

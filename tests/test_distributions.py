@@ -62,7 +62,7 @@ def test_constant_column_is_one_bin(customers):
     assert d.density_curve(table, ["Age"]).count() == 0
 
 
-def test_density_equals_direct_sum(table, values):
+def test_density_equals_direct_sum(table, values, path):
     rows = d.density_curve(table, ["AnnualIncome"]).orderBy("point").collect()
     x = np.linspace(values.min(), values.max(), 200)
     width = values.std(ddof=1) * len(values) ** -0.2
@@ -74,7 +74,7 @@ def test_density_equals_direct_sum(table, values):
     assert [r.height for r in rows] == pytest.approx(height.tolist(), rel=1e-9, abs=1e-12)
 
 
-def test_density_lists_points_no_value_reaches(spark):
+def test_density_lists_points_no_value_reaches(spark, path):
     rows = [(float(i % 5),) for i in range(3000)] + [(1e6,)]
     curve = d.density_curve(spark.createDataFrame(rows, "x double"), ["x"]).collect()
     assert len(curve) == 200
