@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from spendgroups.operators import distributions, quality
 from spendgroups.operators.cluster import GroupModel, assign_groups, fit_groups
+from spendgroups.operators.columns import split_rejects
 from spendgroups.operators.profile import group_report
 from spendgroups.operators.quantiles import count_values
 from spendgroups.operators.scoring import score_customers
@@ -43,6 +44,7 @@ class TrainingResult:
     model: GroupModel
     path: str
     grouped: DataFrame
+    rejects: DataFrame
     report: DataFrame
 
     def sizes(self) -> DataFrame:
@@ -58,11 +60,12 @@ class TrainingResult:
 def train(
     df: DataFrame, name: str, root: str, k: int = K_DEFAULT, source: str = "batch"
 ) -> TrainingResult:
-    """Fit, save and describe a model. Every row needs an income and a score."""
-    model = fit_groups(df, k)
+    """Fit, save and describe a model; rows without income or score are rejects."""
+    good, rejects = split_rejects(df)
+    model = fit_groups(good, k)
     path = models.save_model(df.sparkSession, model, name, source, root)
-    grouped = assign_groups(df, model)
-    return TrainingResult(model, path, grouped, group_report(grouped))
+    grouped = assign_groups(good, model)
+    return TrainingResult(model, path, grouped, rejects, group_report(grouped))
 
 
 def score(

@@ -28,7 +28,10 @@ def test_train_then_score(spark, folder, tmp_path):
     assert result.boxes().count() == 10
     assert result.points().agg(F.sum("n")).first()[0] == 150
     assert result.report.agg(F.sum("n_rows")).first()[0] == 150
+    assert result.rejects.count() == 0
     table = fixtures.profile_dirty(spark, folder)
+    dirty = flows.train(table, "dirty", str(tmp_path), k=3)
+    assert dirty.grouped.count() + dirty.rejects.count() == table.count()
     scored, rejects = flows.score(spark, table, "five", str(tmp_path))
     assert scored.count() + rejects.count() == table.count()
     assert scored.where(F.size("warnings") > 0).count() > 0
