@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from spendgroups.llm.bpe import bpe_digest
 from spendgroups.llm.mixing import mix_sources
 from spendgroups.llm.pii import pii_digest
+from spendgroups.llm.ppm import language_ids
 from spendgroups.llm.secrets import secrets_digest
 from spendgroups.llm.tables import table
+from spendgroups.llm.tokencount import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -30,7 +33,22 @@ def op2_secrets(spark, folder):
     return secrets_digest(table(spark, folder, "documents"))
 
 
+@query
+def op4_language(spark, folder):
+    return language_ids(table(spark, folder, "documents"))
+
+
+@query
+def op6_bpe(spark, folder):
+    return bpe_digest(table(spark, folder, "documents"))
+
+
 @query
 def op7_mixing(spark, folder):
     mixed = mix_sources(table(spark, folder, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op10_token_counts(spark, folder):
+    return token_counts(table(spark, folder, "documents"))
