@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from spendgroups.llm.bpe import bpe_digest
+from spendgroups.llm.jaccard import jaccard_components
 from spendgroups.llm.mixing import mix_sources
 from spendgroups.llm.pii import pii_digest
 from spendgroups.llm.ppm import language_ids
 from spendgroups.llm.secrets import secrets_digest
-from spendgroups.llm.tables import table
+from spendgroups.llm.tables import importable, table
 from spendgroups.llm.tokencount import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,7 +21,12 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
+    @functools.wraps(function)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        importable(spark)
+        return function(spark, folder)
+
+    QUERIES[function.__name__] = run
     return function
 
 
@@ -49,6 +56,11 @@ def op7_mixing(spark, folder):
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op9_jaccard(spark, folder):
+    return jaccard_components(table(spark, folder, "documents"))
+
+
 @query
 def op10_token_counts(spark, folder):
     return token_counts(table(spark, folder, "documents"))

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendgroups.session import new_folder
 
+_ROOT = str(Path(__file__).resolve().parents[2])
+
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back.
@@ -24,6 +28,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package from where it is.
+
+    Workers of a cluster have it installed, or get it with ``--py-files``.
+    """
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(":")
+    if _ROOT not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = ":".join([*filter(None, paths), _ROOT])
+
+
 def doc_key(doc_id: str | Column = "doc_id") -> Column:
     """crc32 of the id as text; an id that is NULL counts as empty text."""
     key = F.col(doc_id) if isinstance(doc_id, str) else doc_id
