@@ -15,6 +15,7 @@ from spendgroups.llm.ppm import language_ids
 from spendgroups.llm.secrets import secrets_digest
 from spendgroups.llm.tables import importable, table
 from spendgroups.llm.tokencount import token_counts
+from spendgroups.llm.toxicity import toxicity_scores
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -56,6 +57,11 @@ def op7_mixing(spark, folder):
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op8_toxicity(spark, folder):
+    return toxicity_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query
 def op9_jaccard(spark, folder):
     return jaccard_components(table(spark, folder, "documents"))
