@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from spendgroups.llm.bpe import bpe_digest
 from spendgroups.llm.jaccard import jaccard_components
+from spendgroups.llm.lattice import near_duplicates
 from spendgroups.llm.mixing import mix_sources
 from spendgroups.llm.pii import pii_digest
 from spendgroups.llm.ppm import language_ids
-from spendgroups.llm.secrets import secrets_digest
+from spendgroups.llm.secret_scan import secrets_digest
 from spendgroups.llm.tables import importable, table
 from spendgroups.llm.tokencount import token_counts
 from spendgroups.llm.toxicity import toxicity_scores
@@ -46,6 +47,11 @@ def op4_language(spark, folder):
     return language_ids(table(spark, folder, "documents"))
 
 
+@query
+def op5_near_vectors(spark, folder):
+    return near_duplicates(table(spark, folder, "embeddings"))
+
+
 @query
 def op6_bpe(spark, folder):
     return bpe_digest(table(spark, folder, "documents"))
