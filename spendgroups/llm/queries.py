@@ -6,11 +6,13 @@ import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from spendgroups.llm.bpe import bpe_digest
 from spendgroups.llm.jaccard import jaccard_components
 from spendgroups.llm.lattice import near_duplicates
 from spendgroups.llm.mixing import mix_sources
+from spendgroups.llm.neighbours import nearest_neighbours
 from spendgroups.llm.pii import pii_digest
 from spendgroups.llm.ppm import language_ids
 from spendgroups.llm.secret_scan import secrets_digest
@@ -42,6 +44,12 @@ def op2_secrets(spark, folder):
     return secrets_digest(table(spark, folder, "documents"))
 
 
+@query
+def op3_neighbours(spark, folder):
+    asks = F.col("vec_id") % 20 == 0
+    return nearest_neighbours(table(spark, folder, "embeddings"), asks)
+
+
 @query
 def op4_language(spark, folder):
     return language_ids(table(spark, folder, "documents"))
