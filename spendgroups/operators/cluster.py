@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import StandardScaler, StandardScalerModel, VectorAssembler
@@ -15,17 +13,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendgroups.operators.columns import split_rejects
-from spendgroups.schema import FEATURES, INCOME, K_DEFAULT, K_MAX, K_MIN, NUMERIC, SCORE, SEED
-from spendgroups.session import checkpointed
-
-# A table of up to this many rows is put in a fixed order before the fit.
-FEW_ROWS = 1_000_000
-ROWS_PER_PARTITION = 250_000
-# Points are split into about this many copies each, as few as will do.
-COPIES = (20, 200, 2000)
-# How far the copies may overstate the spread of the rows.
-EXCESS = 1.05
-
+from spendgroups.operators.quality import table_overview
+from spendgroups.schema import (
+    ASSEMBLED,
+    CLUSTER,
+    FEATURES,
+    INCOME,
+    K_DEFAULT,
+    K_MAX,
+    K_MIN,
+    NUMERIC,
+    SCALED,
+    SCORE,
+    SEED,
+)
+from spendgroups.session import new_folder, remove_folder
 
 @dataclass
 class GroupModel:
@@ -82,16 +84,15 @@ def _checked_k(k: int) -> int:
 
 def scaling_stages(cols: Sequence[str] = FEATURES) -> list:
     return [
-        VectorAssembler(inputCols=list(cols), outputCol="features_raw"),
+        VectorAssembler(inputCols=list(cols), outputCol=ASSEMBLED),
         StandardScaler(
-            inputCol="features_raw", outputCol="features", withMean=True, withStd=True
+            inputCol=ASSEMBLED, outputCol=SCALED, withMean=True, withStd=True
         ),
     ]
 
 
-def kmeans_stage(k: int, seed: int = SEED, weight: str | None = None) -> KMeans:
-    stage = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="prediction")
-    return stage if weight is None else stage.setWeightCol(weight)
+def kmeans_stage(k: int, seed: int = SEED) -> KMeans:
+    return KMeans(k=k, seed=seed, featuresCol=SCALED, predictionCol=CLUSTER)
 
 
 def grouping_stages(k: int = K_DEFAULT, seed: int = SEED) -> Pipeline:
@@ -100,103 +101,38 @@ def grouping_stages(k: int = K_DEFAULT, seed: int = SEED) -> Pipeline:
 
 
 class Training:
-    """A table made ready for one or more fits.
-
-    The feature columns are read from the source once. What the fits run on
-    depends on the table, and is told by ``mode``:
-
-    ``few``: the rows, in an order set by their values, so that a small table
-    gives the same model however its files are laid out.
+    """A table made ready for one or more fits, on all its rows.
 
-    ``points``: the distinct points, weighted by their row counts, if there are
-    far fewer of them than rows, as with whole incomes and scores. The cost to
-    minimise is the same, and an iteration no longer depends on the row count.
-    Since the starting centres are drawn without regard to weights, a point is
-    split into copies in proportion to its weight. Rare points still count as one
-    copy; if that would overstate the spread of the rows, this mode is not used.
-
-    ``rows``: all rows, as they lie.
+    The numbers are read from the source once and written to the shared folder, where
+    they are measured, scaled and fitted. ``release`` removes them; models do not need
+    them any more.
     """
 
-    def __init__(self, df: DataFrame, mode: str | None = None):
+    def __init__(self, df: DataFrame):
         ok, _ = split_rejects(df)
         extra = [c for c in NUMERIC if c in df.columns and c not in FEATURES]
-        rows = ok.select(*extra, *[F.col(c).cast("double").alias(c) for c in FEATURES])
-        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            self._measure(rows, [*extra, *FEATURES])
-            if self.n_rows == 0:
-                raise ValueError("no row has both an income and a score")
-            self.scaling = Pipeline(stages=scaling_stages()).fit(rows)
-            plain = rows.select(*FEATURES, F.lit(1.0).alias("weight"))
-            prepared, self.mode = None, mode
-            if mode is None and self.n_rows <= FEW_ROWS:
-                self.mode = "few"
-            if self.mode in (None, "points"):
-                prepared = self._points(rows, forced=mode == "points")
-                self.mode = "rows" if prepared is None else "points"
-            if self.mode == "few":
-                prepared = _in_order(checkpointed(plain), self.n_rows)
-            elif self.mode == "rows":
-                prepared = checkpointed(plain)
-            self.points = self.scaling.transform(prepared)
-        finally:
-            rows.unpersist()
-
-    def _points(self, rows: DataFrame, forced: bool) -> DataFrame | None:
-        """Weighted points to fit on, or None if the rows are to be preferred."""
-        if not forced and 2 * COPIES[0] * self.n_points > self.n_rows:
-            return None
-        points = checkpointed(
-            rows.groupBy(*FEATURES).agg(F.count(F.lit(1)).cast("double").alias("weight"))
+        self.spark = df.sparkSession
+        self.folder = new_folder(self.spark, "training")
+        ok.select(*extra, *[F.col(c).cast("double").alias(c) for c in FEATURES]).write.parquet(
+            self.folder
         )
-        scaler = self.scaling.stages[-1]
-        z = [
-            (F.col(c) - float(m)) / float(s or 1)
-            for c, m, s in zip(FEATURES, scaler.mean, scaler.std)
+        rows = self.spark.read.parquet(self.folder)
+        facts = table_overview(rows, [*extra, *FEATURES]).first()
+        self.n_rows = facts["n_rows"]
+        if self.n_rows == 0:
+            self.release()
+            raise ValueError("no row has both an income and a score")
+        self.domain = [
+            {"column": d["column"], "lo": d["min"], "hi": d["max"]} for d in facts["described"]
         ]
-        square = squared_distance(z, [0.0] * len(z))
-        share = {m: self.n_rows / (m * max(self.n_points, 1)) for m in COPIES}
-        copies = {
-            m: F.greatest(F.lit(1), F.round(F.col("weight") / s)).cast("int")
-            for m, s in share.items()
-        }
-        sums = points.agg(
-            F.sum(F.col("weight") * square).alias("spread"),
-            *[F.sum(c).alias(f"n_{m}") for m, c in copies.items()],
-            *[F.sum(c * share[m] * square).alias(f"spread_{m}") for m, c in copies.items()],
-        ).first()
-        for m in COPIES:
-            fair = sums[f"spread_{m}"] <= EXCESS * sums["spread"]
-            if forced or (fair and 2 * sums[f"n_{m}"] <= self.n_rows):
-                copied = (
-                    points.withColumn("_copies", copies[m])
-                    .withColumn("weight", F.col("weight") / F.col("_copies"))
-                    .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-                )
-                return _in_order(copied, sums[f"n_{m}"], "_copy").drop("_copies", "_copy")
-        return None
-
-    def _measure(self, rows: DataFrame, cols: Sequence[str]) -> None:
-        ranges = [
-            F.struct(
-                F.lit(c).alias("column"),
-                F.min(c).cast("double").alias("lo"),
-                F.max(c).cast("double").alias("hi"),
-            ).alias(f"range_{c}")
-            for c in cols
-        ]
-        facts = rows.agg(
-            F.count(F.lit(1)).alias("n_rows"),
-            F.approx_count_distinct(F.xxhash64(*FEATURES), 0.02).alias("n_points"),
-            *ranges,
-        ).first()
-        self.n_rows, self.n_points = facts["n_rows"], facts["n_points"]
-        self.domain = [facts[f"range_{c}"].asDict() for c in cols]
+        self.scaling = Pipeline(stages=scaling_stages()).fit(rows)
+        self.rows = self.scaling.transform(rows.select(*FEATURES))
+
+    def release(self) -> None:
+        remove_folder(self.spark, self.folder)
 
     def kmeans(self, k: int, seed: int = SEED) -> KMeansModel:
-        weight = "weight" if self.mode == "points" else None
-        return kmeans_stage(_checked_k(k), seed, weight).fit(self.points)
+        return kmeans_stage(_checked_k(k), seed).fit(self.rows)
 
     def fit(self, k: int = K_DEFAULT, seed: int = SEED) -> GroupModel:
         kmeans = self.kmeans(k, seed)
@@ -214,34 +150,31 @@ class Training:
         ]
         # At most k rows reach the driver.
         means = (
-            kmeans.transform(self.points)
-            .groupBy("prediction")
+            kmeans.transform(self.rows)
+            .groupBy(CLUSTER)
             .agg(
-                F.round(F.sum("weight")).cast("bigint").alias("n_rows"),
-                (F.sum(F.col("weight") * F.col(INCOME)) / F.sum("weight")).alias("mean_income"),
-                (F.sum(F.col("weight") * F.col(SCORE)) / F.sum("weight")).alias("mean_score"),
+                F.count(F.lit(1)).alias("n_rows"),
+                F.avg(INCOME).alias("mean_income"),
+                F.avg(SCORE).alias("mean_score"),
             )
             .collect()
         )
         ids = model.group_ids()
         model.groups = sorted(
-            ({"group_id": ids[row["prediction"]], **row.asDict()} for row in means),
+            ({"group_id": ids[row[CLUSTER]], **row.asDict()} for row in means),
             key=lambda group: group["group_id"],
         )
         return model
 
 
-def _in_order(points: DataFrame, size: int, *more: str) -> DataFrame:
-    """Rows placed in partitions, and sorted there, by their values alone."""
-    parts = math.ceil(size / ROWS_PER_PARTITION)
-    return points.repartition(parts, *FEATURES, *more).sortWithinPartitions(*FEATURES, *more)
-
-
-def fit_groups(
-    df: DataFrame, k: int = K_DEFAULT, seed: int = SEED, mode: str | None = None
-) -> GroupModel:
-    """Fit on the rows that have both features."""
-    return Training(df, mode).fit(k, seed)
+def fit_groups(df: DataFrame, k: int = K_DEFAULT, seed: int = SEED) -> GroupModel:
+    """Fit on all rows that have both features."""
+    _checked_k(k)
+    training = Training(df)
+    try:
+        return training.fit(k, seed)
+    finally:
+        training.release()
 
 
 def assign_groups(df: DataFrame, model: GroupModel) -> DataFrame:
@@ -250,27 +183,25 @@ def assign_groups(df: DataFrame, model: GroupModel) -> DataFrame:
     Rows without both features must have been split off before.
     """
     ids = F.array(*[F.lit(i) for i in model.group_ids()])
-    return model.pipeline.transform(df).withColumn("group_id", ids[F.col("prediction")])
+    return model.pipeline.transform(df).withColumn("group_id", ids[F.col(CLUSTER)])
 
 
 def elbow_sweep(
-    df: DataFrame,
-    ks: Iterable[int] = range(K_MIN, K_MAX + 1),
-    seed: int = SEED,
-    mode: str | None = None,
+    df: DataFrame, ks: Iterable[int] = range(K_MIN, K_MAX + 1), seed: int = SEED
 ) -> DataFrame:
     """Cost of a fit for each K: ``(k, cost)``.
 
-    Scaling does not depend on K and is done once. Fits on few rows or on points
-    are small, so several run side by side; fits on all rows run one by one.
+    Scaling does not depend on K and is done once; the scaled rows are kept, in memory or
+    on disk, until the last fit.
     """
-    training = Training(df, mode)
-
-    def cost(k: int) -> tuple[int, float]:
-        return k, float(training.kmeans(k, seed).summary.trainingCost)
-
-    with ThreadPoolExecutor(1 if training.mode == "rows" else 4) as pool:
-        costs = list(pool.map(inheritable_thread_target(df.sparkSession)(cost), ks))
+    ks = [_checked_k(k) for k in ks]
+    training = Training(df)
+    training.rows = training.rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        costs = [(k, float(training.kmeans(k, seed).summary.trainingCost)) for k in ks]
+    finally:
+        training.rows.unpersist()
+        training.release()
     return df.sparkSession.createDataFrame(costs, "k int, cost double")
 
 

@@ -51,6 +51,21 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/spendgroups/{name}-{uuid.uuid4().hex}"
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder that ``new_folder`` named and that nothing reads any more."""
+    if f"{shared_root(spark)}/spendgroups/" not in f"{path}/":
+        raise ValueError(f"not a folder of ours: {path}")
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read back, lineage cut."""
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder, with its lineage cut."""
     shared_root(df.sparkSession)

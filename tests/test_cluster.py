@@ -1,9 +1,11 @@
-import numpy as np
+import os
+
 import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from spendgroups import session
 from spendgroups.operators import cluster as c
 from spendgroups.operators import profile, scoring
 from spendgroups.plans import fixtures
@@ -16,10 +18,9 @@ def blobs(spark, folder):
     return fixtures.blobs(spark, folder).cache()
 
 
-@pytest.mark.parametrize("mode", [None, "few", "points", "rows"])
 @pytest.mark.parametrize("partitions", [1, 7])
-def test_known_groups_are_found(blobs, mode, partitions):
-    model = c.fit_groups(blobs.repartition(partitions), 5, mode=mode)
+def test_known_groups_are_found(blobs, partitions):
+    model = c.fit_groups(blobs.repartition(partitions), 5)
     assert model.cost == pytest.approx(1.068102, abs=1e-6)
     assert [g["n_rows"] for g in model.groups] == [30] * 5
     for group in model.groups:
@@ -28,37 +29,30 @@ def test_known_groups_are_found(blobs, mode, partitions):
         assert group["mean_score"] == pytest.approx(score, abs=3)
 
 
-def test_model_does_not_depend_on_layout(spark, folder):
-    table = fixtures.loaded_profile(spark, folder)
-    first = c.fit_groups(table.repartition(3), 5)
-    second = c.fit_groups(table.repartition(7), 5)
-    assert first.cost == pytest.approx(second.cost)
-    assert np.allclose(first.centres(), second.centres())
-
-
-def test_mode_is_chosen_by_the_table(spark, blobs, monkeypatch):
-    assert c.Training(blobs).mode == "few"
-    monkeypatch.setattr(c, "FEW_ROWS", 0)
-    assert c.Training(blobs).mode == "rows"
-    many = blobs.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(400))))
-    training = c.Training(many)
-    assert training.mode == "points"
-    assert training.points.count() < many.count() / 2
-    assert training.points.agg(F.sum("weight")).first()[0] == pytest.approx(many.count())
-    model = training.fit(5)
-    assert [g["n_rows"] for g in model.groups] == [12_000] * 5
+def test_every_row_counts(spark, blobs):
+    """Repeated rows weigh as much as others, and no more rows are needed to see it."""
+    many = blobs.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(40))))
+    model = c.fit_groups(many, 5)
+    assert [g["n_rows"] for g in model.groups] == [1200] * 5
     # The sample deviation shrinks a little as rows are repeated.
-    assert model.cost == pytest.approx(400 * 1.068102 * (150 / 149) * (59_999 / 60_000), rel=1e-5)
+    assert model.cost == pytest.approx(40 * 1.068102 * (150 / 149) * (5999 / 6000), rel=1e-5)
 
 
-def test_rare_far_points_prevent_points_mode(spark, monkeypatch):
-    monkeypatch.setattr(c, "FEW_ROWS", 0)
-    table = spark.range(40_000).select(
-        F.when(F.col("id") < 300, F.col("id") * 1000).otherwise(F.col("id") % 7)
-        .cast("double").alias("AnnualIncome"),
-        (F.col("id") % 3).cast("double").alias("SpendingScore"),
-    )
-    assert c.Training(table).mode == "rows"
+def test_nan_does_not_reach_the_domain(spark):
+    rows = [(float("nan"), 10.0, 10.0), (20.0, 90.0, 80.0), (41.0, 50.0, 70.0)]
+    table = spark.createDataFrame(rows, "Age double, AnnualIncome double, SpendingScore double")
+    assert c.fit_groups(table, 2).training_domain()["Age"] == (20.0, 41.0)
+
+
+def test_what_a_fit_wrote_is_removed(spark, blobs, monkeypatch):
+    folders = []
+    monkeypatch.setattr(c, "remove_folder", lambda s, path: (folders.append(path), remove(s, path)))
+    remove = session.remove_folder
+    c.fit_groups(blobs, 5)
+    c.elbow_sweep(blobs, [2, 3])
+    assert len(folders) == 2 and not any(os.path.exists(f.removeprefix("file:")) for f in folders)
+    with pytest.raises(ValueError):
+        remove(spark, "/somewhere/else")
 
 
 @pytest.mark.parametrize("k", [1, 11])
@@ -110,9 +104,8 @@ def test_scaled_features(blobs):
     assert list(row) == pytest.approx([0, 1, 0, 1], abs=1e-9)
 
 
-@pytest.mark.parametrize("mode", ["few", "points", "rows"])
-def test_elbow(blobs, mode):
-    costs = {r.k: r.cost for r in c.elbow_sweep(blobs, mode=mode).collect()}
+def test_elbow(blobs):
+    costs = {r.k: r.cost for r in c.elbow_sweep(blobs).collect()}
     assert sorted(costs) == list(range(2, 11))
     assert costs[5] == pytest.approx(1.068102, abs=1e-6)
     assert costs[4] > 10 * costs[5]
