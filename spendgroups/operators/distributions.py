@@ -1,7 +1,7 @@
 """The tables behind the charts: histograms, densities, boxes, grids, counts.
 
-Histograms, densities and boxes come from counts of equal values. Whoever wants
-more than one of them counts once and passes ``counts``.
+Histograms and densities are taken straight from the rows, boxes from counts of equal
+values. Whoever wants several of them may count once and pass ``counts`` to all.
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from spendgroups.functions.numbers import is_number, number
 from spendgroups.operators.quantiles import (
@@ -23,20 +22,25 @@ from spendgroups.operators.quantiles import (
     long_values,
 )
 from spendgroups.schema import INCOME, NUMERIC, SCORE
+from spendgroups.session import checkpointed
 
 # Beyond this many bandwidths the kernel is exactly zero as a double.
 KERNEL_REACH = 39.0
 
 
-def _whole_columns(df: DataFrame, cols: Sequence[str]) -> list[str]:
-    whole = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-    return [c for c in cols if isinstance(df.schema[c].dataType, whole)]
+def _weighted(df: DataFrame, cols: Sequence[str], counts: ValueCounts | None) -> DataFrame:
+    """``(column, value, n)``: the counted values, or every value of a row once."""
+    if counts is not None:
+        return counts.table.select("column", "value", "n")
+    return long_values(df, cols).withColumn("n", F.lit(1).cast("bigint"))
 
 
-def _bin_edges(counts: ValueCounts, bins: int | str, whole: Sequence[str]) -> DataFrame:
+def _bin_edges(values: DataFrame, bins: int | str, counts: ValueCounts | None) -> DataFrame:
     """``(column, first, last, bins)``, one row per column."""
-    edges = counts.table.groupBy("column").agg(
-        F.min("value").alias("first"), F.max("value").alias("last")
+    edges = values.groupBy("column").agg(
+        F.min("value").alias("first"),
+        F.max("value").alias("last"),
+        F.bool_and(F.col("value") == F.floor("value")).alias("whole"),
     )
     if bins != "auto":
         chosen = F.lit(int(bins))
@@ -49,10 +53,7 @@ def _bin_edges(counts: ValueCounts, bins: int | str, whole: Sequence[str]) -> Da
         freedman = 2 * (F.col("q3") - F.col("q1")) * F.pow(size, -1.0 / 3.0)
         root = spread / F.sqrt(size)
         width = F.least(F.greatest(freedman, root / 2), sturges)
-        if whole:
-            width = F.when(
-                F.col("column").isin(list(whole)), F.greatest(width, F.lit(1.0))
-            ).otherwise(width)
+        width = F.when(F.col("whole"), F.greatest(width, F.lit(1.0))).otherwise(width)
         chosen = F.ceil(spread / F.nullif(width, F.lit(0.0))).cast("int")
     # A column with a single value has one bin.
     chosen = F.when(F.col("last") > F.col("first"), chosen).otherwise(1)
@@ -69,10 +70,15 @@ def histogram(
 
     ``bins="auto"`` takes the smaller of the Sturges and Freedman-Diaconis
     widths, the latter held above half the square-root width, and at least 1 for
-    integer columns. The last bin is closed. Empty bins are listed.
+    columns whose values are all whole. The last bin is closed. Empty bins are listed.
+
+    Given a number of bins, there are two aggregates over the rows, and only bins are
+    shuffled. ``"auto"`` needs quartiles, and so counts of equal values.
     """
-    counts = counts or count_values(df, cols)
-    edges = _bin_edges(counts, bins, _whole_columns(df, cols))
+    if bins == "auto" and counts is None:
+        counts = count_values(df, cols)
+    values = _weighted(df, cols, counts)
+    edges = checkpointed(_bin_edges(values, bins, counts))
     first, last, number_of = F.col("first"), F.col("last"), F.col("bins")
     step = (last - first) / number_of
     value = F.col("value")
@@ -91,7 +97,7 @@ def histogram(
     )
     shape = ["column", "first", "last", "bins"]
     filled = (
-        counts.table.join(F.broadcast(edges), "column")
+        values.join(F.broadcast(edges), "column")
         .withColumn("guess", guess)
         .select(*shape, place.alias("bin"), "n")
     )
@@ -113,24 +119,8 @@ def histogram(
     )
 
 
-def _spread_rows(placed: DataFrame, points: int) -> DataFrame:
-    """``(column, point, mass)``: what each value adds to each point it reaches."""
-    value, width, first = F.col("value"), F.col("width"), F.col("first")
-    step = (F.col("last") - first) / (points - 1)
-    reach = KERNEL_REACH * width
-    reached = F.sequence(
-        F.greatest(F.lit(0), F.ceil((value - reach - first) / step).cast("int")),
-        F.least(F.lit(points - 1), F.floor((value + reach - first) / step).cast("int")),
-        F.lit(1),
-    )
-    distance = (first + F.col("point") * step - value) / width
-    return placed.withColumn("point", F.explode(reached)).select(
-        "column", "point", (F.col("n") * F.exp(-F.pow(distance, 2) / 2)).alias("mass")
-    )
-
-
-def _spread_batches(placed: DataFrame, points: int) -> DataFrame:
-    """The same, added up within each partition; for many values."""
+def _spread(placed: DataFrame, points: int) -> DataFrame:
+    """``(column, point, mass)``: what the values of a partition add to each grid point."""
 
     def add_up(batches):
         sums: dict[str, np.ndarray] = {}
@@ -138,11 +128,14 @@ def _spread_batches(placed: DataFrame, points: int) -> DataFrame:
             for column, part in batch.groupby("column"):
                 grid = np.linspace(part["first"].iloc[0], part["last"].iloc[0], points)
                 mass = sums.setdefault(column, np.zeros(points))
-                value, width = part["value"].to_numpy(), part["width"].iloc[0]
-                n = part["n"].to_numpy(dtype=float)
+                width = part["width"].iloc[0]
+                part = part.groupby("value", sort=True)["n"].sum()
+                value, n = part.index.to_numpy(), part.to_numpy(dtype=float)
+                low = np.searchsorted(value, grid - KERNEL_REACH * width)
+                high = np.searchsorted(value, grid + KERNEL_REACH * width, "right")
                 for i, x in enumerate(grid):
-                    u = (x - value) / width
-                    mass[i] += n @ np.exp(-u * u / 2)
+                    u = (x - value[low[i] : high[i]]) / width
+                    mass[i] += n[low[i] : high[i]] @ np.exp(-u * u / 2)
         for column, mass in sums.items():
             yield pd.DataFrame({"column": column, "point": range(points), "mass": mass})
 
@@ -162,21 +155,23 @@ def density_curve(
 
     The bandwidth is the sample deviation times ``n^(-1/5)``. ``height`` is the
     density scaled to a histogram of ``bins`` bins. A column that does not vary
-    has no curve. A distinct value adds to a point once, however many rows hold
-    it, and only to points it can reach; as the bandwidth shrinks with the row
-    count, those become few. ``grain`` bounds the number of distinct values.
+    has no curve. Each partition adds up what its values give to the points they can
+    reach, equal values of a batch once, and only those sums are shuffled. ``grain``
+    rounds values to its multiples, which makes them fewer.
     """
-    counts = counts or count_values(df, cols, grain=grain)
+    if grain is not None and counts is None:
+        counts = count_values(df, cols, grain=grain)
+    values = _weighted(df, cols, counts)
     value, n = F.col("value"), F.col("n")
-    centre = counts.table.groupBy("column").agg(
+    centre = values.groupBy("column").agg(
         F.sum("n").cast("double").alias("total"),
-        (F.sum(n * value) / F.sum(n)).alias("mean"),
+        (F.sum(n * value) / F.sum("n")).alias("mean"),
         F.min("value").alias("first"),
         F.max("value").alias("last"),
     )
     square = F.pow(value - F.col("mean"), 2)
-    spread = (
-        counts.table.join(F.broadcast(centre), "column")
+    spread = checkpointed(
+        values.join(F.broadcast(centre), "column")
         .groupBy("column", "total", "first", "last")
         .agg(F.sum(n * square).alias("squares"))
         .where((F.col("total") > 1) & (F.col("squares") > 0))
@@ -187,8 +182,7 @@ def density_curve(
         .drop("squares")
     )
     x = F.col("first") + F.col("point") * (F.col("last") - F.col("first")) / (points - 1)
-    placed = counts.table.join(F.broadcast(spread), "column")
-    felt = (_spread_rows if counts.few else _spread_batches)(placed, points)
+    felt = _spread(values.join(F.broadcast(spread), "column"), points)
     every_point = F.explode(F.sequence(F.lit(0), F.lit(points - 1)))
     grid = spread.select("column", every_point.alias("point"), F.lit(0.0).alias("mass"))
     scale = F.col("total") * F.col("width") * math.sqrt(2 * math.pi)

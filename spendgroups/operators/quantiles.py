@@ -7,12 +7,10 @@ is read once, whatever is computed from them.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,11 +18,12 @@ from spendgroups.functions.numbers import number
 from spendgroups.schema import NUMERIC
 from spendgroups.session import checkpointed
 
-# Up to this many counted values fit into one task, and facts about them into a broadcast.
-FEW_VALUES = 200_000
+# Facts on this many columns and groups are small enough to be broadcast.
 FEW_GROUPS = 10_000
-SLICES = 256
 SALTS = 32
+# A slice of more values than this is cut again before anything in it is put in order.
+SLICE_VALUES = 200_000
+PIECES = 256
 
 
 @dataclass(frozen=True)
@@ -39,14 +38,10 @@ class ValueCounts:
     def keys(self) -> list[str]:
         return ["column"] if self.by is None else ["column", self.by]
 
-    @property
-    def few(self) -> bool:
-        return self.size <= FEW_VALUES
-
     @cached_property
     def few_groups(self) -> bool:
         """True if facts on each column and group are small enough to broadcast."""
-        if self.by is None or self.few:
+        if self.by is None:
             return True
         groups = self.table.select(*self.keys).distinct()
         return groups.limit(FEW_GROUPS + 1).count() <= FEW_GROUPS
@@ -109,70 +104,33 @@ def exact_quantiles(counts: ValueCounts, probs: Mapping[str, float]) -> DataFram
     """Quantiles, linear between neighbours.
 
     Result: ``(column, [by], total, <one column per name in probs>)``.
-    """
-    return _gathered(counts, probs) if counts.few else _sliced(counts, probs)
-
-
-def _gathered(counts: ValueCounts, probs: Mapping[str, float]) -> DataFrame:
-    """For few values: the built-in aggregate, which holds a group in one task."""
-    found = counts.table.groupBy(*counts.keys).agg(
-        F.sum("n").alias("total"),
-        F.percentile("value", list(probs.values()), F.col("n")).alias("_found"),
-    )
-    picked = [F.col("_found")[i].alias(name) for i, name in enumerate(probs)]
-    return found.select(*counts.keys, "total", *picked)
-
 
-def _sliced(counts: ValueCounts, probs: Mapping[str, float]) -> DataFrame:
-    """For any number of values: no group is sorted or held by one task.
-
-    The values of a column are cut into slices of about equal size, the totals of
-    the slices show which of them hold the wanted ranks, and only those are put
-    in order.
+    A slice is a range of values of one column and group that holds a wanted rank; at
+    first it is all of them. As long as a slice has more than ``SLICE_VALUES`` different
+    values, it is cut into pieces at approximate quantiles, and the totals of the pieces
+    tell which of them hold the ranks. So what is put in order in one task is bounded,
+    whatever the table, and results do not depend on how often a slice was cut.
     """
     keys = counts.keys
-    steps = ", ".join(f"{i / SLICES!r}D" for i in range(1, SLICES))
-    found = counts.table.groupBy("column").agg(
-        F.expr(f"percentile_approx(value, array({steps}), 10000)").alias("cuts")
-    )
-    # SLICES - 1 numbers per column. A cut made for one column does no harm to another.
-    cuts = sorted({cut for row in found.collect() for cut in row["cuts"]}) or [0.0]
-    slicer = Bucketizer(
-        splits=[-math.inf, *cuts, math.inf], inputCol="value", outputCol="slice"
-    )
-    sliced = slicer.transform(counts.table).withColumn("slice", F.col("slice").cast("int"))
-
-    group = Window.partitionBy(*keys)
-    upto = group.orderBy("slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    slices = (
-        sliced.groupBy(*keys, "slice")
-        .agg(F.sum("n").alias("held"))
-        .withColumns(
-            {"upto": F.sum("held").over(upto), "total": F.sum("held").over(group)}
-        )
-        .withColumn("before", F.col("upto") - F.col("held"))
-    )
-    spots = {name: F.lit(p) * (F.col("total") - 1) for name, p in probs.items()}
-    ranks = F.array(*[end for s in spots.values() for end in (F.floor(s), F.ceil(s))])
-    wanted = slices.where(
-        F.exists(ranks, lambda r: (r >= F.col("before")) & (r < F.col("upto")))
-    ).select(*keys, "slice", "before", "total")
-
-    inside = (
-        Window.partitionBy(*keys, "slice")
-        .orderBy("value")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    if counts.few_groups:
-        wanted = F.broadcast(wanted)
-    ranked = sliced.join(wanted, [*keys, "slice"]).withColumn(
-        "end", F.col("before") + F.sum("n").over(inside)
+    whole = counts.table.groupBy(*keys).agg(
+        F.sum("n").alias("total"),
+        F.min("value").alias("low"),
+        F.max("value").alias("high"),
+        F.count(F.lit(1)).alias("values"),
+        F.lit(0).cast("bigint").alias("before"),
     )
+    slices = checkpointed(whole)
+    while (slices.agg(F.max("values")).first()[0] or 0) > SLICE_VALUES:
+        slices = checkpointed(_cut(counts, slices, probs))
+    inside = Window.partitionBy(*keys, "low").orderBy("value")
+    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = _inside(counts, slices).withColumn("end", F.col("before") + F.sum("n").over(upto))
 
     def at(rank: Column) -> Column:
         holds = (rank >= F.col("end") - F.col("n")) & (rank < F.col("end"))
         return F.max(F.when(holds, F.col("value")))
 
+    spots = _spots(probs)
     ends = {}
     for name, spot in spots.items():
         ends[f"{name}_low"] = at(F.floor(spot))
@@ -186,3 +144,46 @@ def _sliced(counts: ValueCounts, probs: Mapping[str, float]) -> DataFrame:
         for name, spot in spots.items()
     ]
     return found.select(*keys, "total", *quantiles)
+
+
+def _spots(probs: Mapping[str, float]) -> dict[str, Column]:
+    return {name: F.lit(p) * (F.col("total") - 1) for name, p in probs.items()}
+
+
+def _inside(counts: ValueCounts, slices: DataFrame) -> DataFrame:
+    """The values of each slice."""
+    return counts.with_facts(counts.table, slices).where("value BETWEEN low AND high")
+
+
+def _cut(counts: ValueCounts, slices: DataFrame, probs: Mapping[str, float]) -> DataFrame:
+    """The pieces of the slices that hold a wanted rank, as slices."""
+    keys = counts.keys
+    steps = ", ".join(f"{i / PIECES!r}D" for i in range(1, PIECES))
+    cuts = (
+        _inside(counts, slices)
+        .groupBy(*keys, "low", "high", "total", "before")
+        .agg(F.expr(f"percentile_approx(value, array({steps}), 10000)").alias("cuts"))
+    )
+    piece = F.size(F.filter("cuts", lambda cut: cut < F.col("value")))
+    pieces = (
+        _inside(counts, checkpointed(cuts))
+        .groupBy(*keys, "low", "total", "before", piece.alias("piece"))
+        .agg(
+            F.sum("n").alias("held"),
+            F.count(F.lit(1)).alias("values"),
+            F.min("value").alias("least"),
+            F.max("value").alias("most"),
+        )
+    )
+    upto = (
+        Window.partitionBy(*keys, "low")
+        .orderBy("piece")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    placed = pieces.withColumn("upto", F.col("before") + F.sum("held").over(upto))
+    first = F.col("upto") - F.col("held")
+    ranks = F.array(*[r for s in _spots(probs).values() for r in (F.floor(s), F.ceil(s))])
+    return placed.where(F.exists(ranks, lambda r: (r >= first) & (r < F.col("upto")))).select(
+        *keys, "total", F.col("least").alias("low"), F.col("most").alias("high"), "values",
+        first.alias("before"),
+    )

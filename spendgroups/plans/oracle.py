@@ -278,13 +278,14 @@ ORACLE_SQL = {
     ),
     "hist_auto": _histogram(
         """SELECT "column", first, last, CAST(CEIL((last - first) / CASE
-                  WHEN "column" = 'Age' THEN GREATEST(width, 1) ELSE width END) AS INT) AS bins
-           FROM (SELECT "column", first, last,
+                  WHEN whole THEN GREATEST(width, 1) ELSE width END) AS INT) AS bins
+           FROM (SELECT "column", first, last, whole,
                         LEAST((last - first) / (log2(n) + 1),
                               GREATEST(2 * iqr * pow(n, -1.0 / 3.0),
                                        (last - first) / sqrt(n) / 2)) AS width
                  FROM (SELECT "column", MIN(v) AS first, MAX(v) AS last, COUNT(*) AS n,
-                              quantile_cont(v, 0.75) - quantile_cont(v, 0.25) AS iqr
+                              quantile_cont(v, 0.75) - quantile_cont(v, 0.25) AS iqr,
+                              bool_and(v = floor(v)) AS whole
                        FROM long GROUP BY "column"))"""
     ),
     "density_curve": f"""WITH {PROFILE}, long AS ({_long("profile")}), facts AS (

@@ -21,10 +21,11 @@ def table(spark, values):
     return spark.createDataFrame(rows, "AnnualIncome double, g int, SpendingScore double")
 
 
-@pytest.fixture(params=["gathered", "sliced", "sliced, many groups"])
+@pytest.fixture(params=["one slice", "cut again", "cut again, many groups"])
 def path(request, monkeypatch):
-    if request.param != "gathered":
-        monkeypatch.setattr(q, "FEW_VALUES", 0)
+    if "cut" in request.param:
+        monkeypatch.setattr(q, "SLICE_VALUES", 9)
+        monkeypatch.setattr(q, "PIECES", 5)
     if "many" in request.param:
         monkeypatch.setattr(q, "FEW_GROUPS", 0)
     return request.param
@@ -39,10 +40,12 @@ def test_histogram_equals_numpy(table, values, bins, path):
     assert [r.hi for r in rows] == pytest.approx(edges[1:].tolist())
 
 
-def test_histogram_of_whole_numbers(spark):
+@pytest.mark.parametrize("kind", ["int", "double"])
+def test_histogram_of_whole_numbers(spark, kind):
     rng = np.random.default_rng(3)
     ages = np.minimum(rng.poisson(3, 4000), 9)
     table = spark.createDataFrame([(int(a),) for a in ages], "Age int")
+    table = table.withColumn("Age", F.col("Age").cast(kind))
     rows = d.histogram(table, ["Age"], "auto").orderBy("bin").collect()
     assert [r.n for r in rows] == np.histogram(ages, bins="auto")[0].tolist()
 
@@ -145,3 +148,10 @@ def test_no_cross_join_or_driver_rows(table, path):
     for frame in [*frames, d.histogram(table, cols, "auto")]:
         plan = frame._jdf.queryExecution().executedPlan().toString()
         assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_histogram_shuffles_bins_not_values(table):
+    plan = d.histogram(table, ["AnnualIncome"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "value" not in [
+        part for line in plan.split("\n") if "hashpartitioning" in line for part in line.split("#")
+    ]
