@@ -13,11 +13,13 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spendgroups.llm.tables import free_names
+
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 # Longer texts are cut where the split pattern is sure to begin a new piece.
 CHUNK = 1 << 16
 # Rows that are held as Python objects at a time.
-SLICE = 256
+SLICE = 64
 # A single space between two letters or digits: no piece goes over it, and the pattern
 # looks at nothing before its piece, so both sides encode as they do in the whole text.
 _SAFE = re.compile(r"[^\W_](?= [^\W_])")
@@ -117,9 +119,31 @@ def with_decoded(
     return docs.withColumn(out, decode(F.col(f"`{ids}`")))
 
 
+def with_round_trip(docs: DataFrame, text: str = "text", path: str = RANKS) -> DataFrame:
+    """Add ``ids`` and ``decoded``, as the two functions above do one after the other, in
+    one pass: the text goes to Python once, and a task needs one Python worker, not two."""
+
+    @F.arrow_udf("ids array<int>, decoded binary")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            ids, decoded = [], []
+            for i in range(0, max(1, len(batch)), SLICE):
+                lists = [encode_text(t or "", path) for t in batch.slice(i, SLICE).to_pylist()]
+                ids.append(pa.array(lists, pa.list_(pa.int32())))
+                decoded.append(pa.array([decode_ids(x, path) for x in lists], pa.binary()))
+            yield pa.StructArray.from_arrays(
+                [pa.concat_arrays(ids), pa.concat_arrays(decoded)], ["ids", "decoded"]
+            )
+
+    (name,) = free_names(docs, "_coded")
+    coded = docs.withColumn(name, both(F.col(f"`{text}`")))
+    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("ids", "decoded")]
+    return coded.select(*kept, F.col(name)["ids"].alias("ids"), F.col(name)["decoded"].alias("decoded"))
+
+
 def bpe_digest(docs: DataFrame, path: str = RANKS) -> DataFrame:
     """Per document the number of ids, and digests of the ids and the decoded bytes."""
-    coded = with_decoded(with_token_ids(docs.select("doc_id", "text"), path=path), path=path)
+    coded = with_round_trip(docs.select("doc_id", "text"), path=path)
     listed = F.array_join(F.col("ids").cast("array<string>"), ",")
     return coded.select(
         "doc_id",
