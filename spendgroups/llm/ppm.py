@@ -268,6 +268,8 @@ def with_language(
                 [names, pa.array(score), pa.array(least / UNIT / size)], ["lang", "score", "bits"]
             )
 
+    # Else a filter on the result is pushed below it, and every text is coded twice.
+    judge = judge.asNondeterministic()
     body = F.col(f"`{text}`")
     judged = F.when(body.rlike(r"\p{L}"), F.col(f"`{out}`"))
     judged = F.when(judged["lang"].isNotNull(), judged)
