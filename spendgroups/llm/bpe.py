@@ -18,8 +18,8 @@ from spendgroups.llm.tables import free_names
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 # Longer texts are cut where the split pattern is sure to begin a new piece.
 CHUNK = 1 << 16
-# Rows that are held as Python objects at a time.
-SLICE = 64
+# Rows that are held as Python objects, and sent back, at a time.
+SLICE = 256
 # A single space between two letters or digits: no piece goes over it, and the pattern
 # looks at nothing before its piece, so both sides encode as they do in the whole text.
 _SAFE = re.compile(r"[^\W_](?= [^\W_])")
@@ -90,13 +90,9 @@ def with_token_ids(
     @F.arrow_udf("array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            parts = []
             for i in range(0, max(1, len(batch)), SLICE):
                 texts = batch.slice(i, SLICE).to_pylist()
-                parts.append(
-                    pa.array([encode_text(t or "", path) for t in texts], pa.list_(pa.int32()))
-                )
-            yield pa.concat_arrays(parts)
+                yield pa.array([encode_text(t or "", path) for t in texts], pa.list_(pa.int32()))
 
     return docs.withColumn(out, encode(F.col(f"`{text}`")))
 
@@ -110,11 +106,9 @@ def with_decoded(
     @F.arrow_udf("binary")
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            parts = []
             for i in range(0, max(1, len(batch)), SLICE):
                 lists = batch.slice(i, SLICE).to_pylist()
-                parts.append(pa.array([decode_ids(x or [], path) for x in lists], pa.binary()))
-            yield pa.concat_arrays(parts)
+                yield pa.array([decode_ids(x or [], path) for x in lists], pa.binary())
 
     return docs.withColumn(out, decode(F.col(f"`{ids}`")))
 
@@ -126,14 +120,12 @@ def with_round_trip(docs: DataFrame, text: str = "text", path: str = RANKS) -> D
     @F.arrow_udf("ids array<int>, decoded binary")
     def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            ids, decoded = [], []
             for i in range(0, max(1, len(batch)), SLICE):
-                lists = [encode_text(t or "", path) for t in batch.slice(i, SLICE).to_pylist()]
-                ids.append(pa.array(lists, pa.list_(pa.int32())))
-                decoded.append(pa.array([decode_ids(x, path) for x in lists], pa.binary()))
-            yield pa.StructArray.from_arrays(
-                [pa.concat_arrays(ids), pa.concat_arrays(decoded)], ["ids", "decoded"]
-            )
+                ids = [encode_text(t or "", path) for t in batch.slice(i, SLICE).to_pylist()]
+                decoded = pa.array([decode_ids(x, path) for x in ids], pa.binary())
+                yield pa.StructArray.from_arrays(
+                    [pa.array(ids, pa.list_(pa.int32())), decoded], ["ids", "decoded"]
+                )
 
     (name,) = free_names(docs, "_coded")
     coded = docs.withColumn(name, both(F.col(f"`{text}`")))
