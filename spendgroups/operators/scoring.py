@@ -19,13 +19,15 @@ def score_customers(
     model: GroupModel,
     record: Mapping | None = None,
     check_range: bool = False,
+    flags: Mapping[str, str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """``(scored, rejects)``; rejects lack an income or a score.
 
     A scored row has the columns of ``df`` and the group, the strategy for the
     customer's own values with its texts, the strategy for the group's means,
     and, if the record of the model is given, its name and date. ``check_range``
-    adds ``warnings`` about values outside the table the model was trained on.
+    adds ``warnings`` about values outside the table the model was trained on, but
+    for values that their column of ``flags`` opts out.
     """
     good, rejects = split_rejects(df)
     codes = _group_strategies(model)
@@ -41,7 +43,9 @@ def score_customers(
         added["model_date"] = F.lit(record["date"])
     if check_range:
         domain = model.training_domain() or TRAIN_DOMAIN
-        added["warnings"] = warning_list({c: d for c, d in domain.items() if c in df.columns})
+        added["warnings"] = warning_list(
+            {c: d for c, d in domain.items() if c in df.columns}, flags
+        )
     return scored.withColumns(added).select(*df.columns, "group_id", *added), rejects
 
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from spendgroups.operators import distributions, quality
 from spendgroups.operators.cluster import GroupModel, assign_groups, fit_groups
-from spendgroups.operators.columns import split_rejects
+from spendgroups.operators.columns import apply_opt_out, fill_missing_columns, split_rejects
 from spendgroups.operators.profile import group_report
 from spendgroups.operators.quantiles import count_values
 from spendgroups.operators.scoring import score_customers
@@ -69,9 +70,20 @@ def train(
 
 
 def score(
-    spark: SparkSession, df: DataFrame, name: str, root: str
+    spark: SparkSession,
+    df: DataFrame,
+    name: str,
+    root: str,
+    flags: Mapping[str, str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Score a table with a saved model: ``(scored, rejects)``."""
+    """Score a table with a saved model: ``(scored, rejects)``.
+
+    Columns that the table lacks get their defaults, as do the values for which the
+    column that ``flags`` names is false; an empty cell does not.
+    """
+    df = fill_missing_columns(df)
+    if flags:
+        df = apply_opt_out(df, flags)
     record = models.model_record(spark, name, root)
     model = models.load_model(spark, name, root, record)
-    return score_customers(df, model, record, check_range=True)
+    return score_customers(df, model, record, check_range=True, flags=flags)

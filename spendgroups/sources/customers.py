@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from spendgroups.functions.numbers import number, time_text
 from spendgroups.schema import AGE, COLUMN_TYPES, CUSTOMER_ID, HEADER_MAP, customer_schema
-from spendgroups.session import broadcast_if_few, checkpointed
+from spendgroups.session import broadcast_if_few, checkpointed, stored
 
 
 def normalize_columns(df: DataFrame, names: Mapping[str, str] = HEADER_MAP) -> DataFrame:
@@ -82,7 +82,9 @@ def with_position(df: DataFrame, name: str = "position") -> DataFrame:
     """Add the 0-based row number in file order to a table read from files.
 
     File order is file name, then place in the file. Only the row count of each
-    block of a file is added up in one place, never rows; a first job counts them.
+    block of a file is added up in one place, never rows. How files are cut into
+    blocks depends on the cores at hand, so the blocks are counted on a written
+    copy of the rows, and the rows are taken from the same copy.
     """
     placed = df.withColumns(
         {
@@ -91,6 +93,7 @@ def with_position(df: DataFrame, name: str = "position") -> DataFrame:
             "_row": F.monotonically_increasing_id(),
         }
     )
+    placed = stored(placed, "placed")
     before = Window.orderBy("_file", "_start").rowsBetween(Window.unboundedPreceding, -1)
     blocks = (
         placed.groupBy("_file", "_start")
@@ -105,7 +108,9 @@ def with_position(df: DataFrame, name: str = "position") -> DataFrame:
     )
 
 
-def save_customer_list(spark: SparkSession, csv_path: str, root: str) -> str:
+def save_customer_list(
+    spark: SparkSession, csv_path: str, root: str, text_ids: bool = False
+) -> str:
     """Make a CSV the current customer list and return the path of its table.
 
     The table gets a folder of its own and is published by a record in the
@@ -114,7 +119,7 @@ def save_customer_list(spark: SparkSession, csv_path: str, root: str) -> str:
     """
     version = f"{time.time_ns():020d}-{uuid.uuid4().hex}"
     path = f"{root}/customer_list/{version}"
-    read_customers(spark, csv_path, mode="FAILFAST").write.parquet(path)
+    read_customers(spark, csv_path, mode="FAILFAST", text_ids=text_ids).write.parquet(path)
     record = spark.range(1).select(
         F.lit(version).alias("version"), F.lit(path).alias("path"), time_text().alias("date")
     )
@@ -137,9 +142,9 @@ def load_customer_list(spark: SparkSession, root: str) -> DataFrame:
 
 
 def current_customer_list(
-    spark: SparkSession, root: str, csv_path: str | None = None
+    spark: SparkSession, root: str, csv_path: str | None = None, text_ids: bool = False
 ) -> DataFrame:
     """Save the CSV if one is given, else reuse the list saved before."""
     if csv_path is not None:
-        save_customer_list(spark, csv_path, root)
+        save_customer_list(spark, csv_path, root, text_ids)
     return load_customer_list(spark, root)

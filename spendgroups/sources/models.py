@@ -104,11 +104,16 @@ def model_record(spark: SparkSession, name: str, root: str) -> dict:
     return row.asDict(recursive=True)
 
 
-def load_stages(record: Mapping) -> tuple[PipelineModel, str]:
-    """Load from the first recorded path that works; returns model and path."""
+def load_stages(record: Mapping, root: str | None = None) -> tuple[PipelineModel, str]:
+    """Load from the first path that works; returns model and path.
+
+    The recorded paths come first, then, if ``root`` is given, the folder there that
+    bears the model's name.
+    """
     paths = record.get("paths") or {}
+    by_name = None if root is None else f"{root}/{record['name']}"
     failures = []
-    for path in (paths.get("local"), paths.get("hdfs")):
+    for path in (paths.get("local"), paths.get("hdfs"), by_name):
         if path is None:
             continue
         try:
@@ -123,5 +128,5 @@ def load_model(
 ) -> GroupModel:
     """A saved model with the facts recorded at its training."""
     record = model_record(spark, name, root) if record is None else record
-    pipeline, _ = load_stages(record)
+    pipeline, _ = load_stages(record, root)
     return GroupModel.restored(pipeline, record)

@@ -35,6 +35,16 @@ def test_train_then_score(spark, folder, tmp_path):
     scored, rejects = flows.score(spark, table, "five", str(tmp_path))
     assert scored.count() + rejects.count() == table.count()
     assert scored.where(F.size("warnings") > 0).count() > 0
+    bare, none = flows.score(spark, blobs.drop("SpendingScore"), "five", str(tmp_path))
+    assert {r.SpendingScore for r in bare.collect()} == {50.0} and none.count() == 0
+    odd = blobs.withColumns({"SpendingScore": F.lit(900.0), "given": F.col("CustomerID") % 2 == 0})
+    flags = {"SpendingScore": "given"}
+    flagged, _ = flows.score(spark, odd, "five", str(tmp_path), flags)
+    warned = F.exists("warnings", lambda w: w.startswith("SpendingScore"))
+    wrong = F.when(F.col("given"), (F.col("SpendingScore") != 900) | ~warned).otherwise(
+        (F.col("SpendingScore") != 50) | warned
+    )
+    assert flagged.where(wrong).count() == 0
 
 
 @pytest.mark.parametrize("limit", [0, 1000])

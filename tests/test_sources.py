@@ -74,6 +74,9 @@ def test_saved_list(spark, write, tmp_path):
     with pytest.raises(Exception):
         src.current_customer_list(spark, root, write(HEADER + "1,Male,old,15,39\n", "c.csv"))
     assert src.current_customer_list(spark, root).count() == 2
+    text = write(HEADER + "C-7,Male,19,15,39\n", "d.csv")
+    named = src.current_customer_list(spark, root, text, text_ids=True)
+    assert [r.CustomerID for r in named.collect()] == ["C-7"]
 
 
 def test_positions_follow_file_order(spark, tmp_path):
@@ -89,6 +92,8 @@ def test_positions_follow_file_order(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
         spark.conf.set("spark.sql.files.openCostInBytes", "100")
         numbered = src.with_position(src.read_customers(spark, path))
+        # Other blocks than those counted must not lose rows.
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "7000")
         wanted = [0, 1, 3999, 4000, 12345, 19_999, 50_000]
         positions = spark.createDataFrame([(p,) for p in wanted + wanted], "position long")
         found = columns.lookup_positions(numbered, positions)
@@ -171,6 +176,15 @@ def test_foreign_and_broken_records(spark, fitted, tmp_path):
     assert restored.group_ids() == model.group_ids() and restored.groups == []
 
 
+def test_stale_path_falls_back_to_the_name(spark, fitted, tmp_path):
+    _, model = fitted
+    model.pipeline.write().save(str(tmp_path / "moved"))
+    stale = {"name": "moved", "k": 5, "date": "2025-01-01 00:00:00", "source": "ui",
+             "paths": {"hdfs": None, "local": str(tmp_path / "gone")}}
+    (tmp_path / "moved_meta.json").write_text(json.dumps(stale))
+    assert models.load_model(spark, "moved", str(tmp_path)).group_ids() == model.group_ids()
+
+
 def test_models_that_cannot_be_had(spark, fitted, tmp_path):
     with pytest.raises(LookupError):
         models.load_model(spark, "none", str(tmp_path))
