@@ -29,6 +29,7 @@ from spendgroups.schema import (
 )
 from spendgroups.session import new_folder, remove_folder
 
+
 @dataclass
 class GroupModel:
     """A fitted pipeline and what was measured while fitting it.
@@ -134,6 +135,16 @@ class Training:
     def kmeans(self, k: int, seed: int = SEED) -> KMeansModel:
         return kmeans_stage(_checked_k(k), seed).fit(self.rows)
 
+    def sweep(self, ks: Iterable[int], seed: int = SEED) -> dict[int, KMeansModel]:
+        """A fit for each K; the scaled rows are kept, in memory or on disk, till the last."""
+        ks = [_checked_k(k) for k in ks]
+        rows, self.rows = self.rows, self.rows.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            return {k: self.kmeans(k, seed) for k in ks}
+        finally:
+            self.rows.unpersist()
+            self.rows = rows
+
     def fit(self, k: int = K_DEFAULT, seed: int = SEED) -> GroupModel:
         kmeans = self.kmeans(k, seed)
         model = GroupModel(
@@ -191,17 +202,15 @@ def elbow_sweep(
 ) -> DataFrame:
     """Cost of a fit for each K: ``(k, cost)``.
 
-    Scaling does not depend on K and is done once; the scaled rows are kept, in memory or
-    on disk, until the last fit.
+    Scaling does not depend on K and is done once.
     """
     ks = [_checked_k(k) for k in ks]
     training = Training(df)
-    training.rows = training.rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        costs = [(k, float(training.kmeans(k, seed).summary.trainingCost)) for k in ks]
+        fits = training.sweep(ks, seed)
     finally:
-        training.rows.unpersist()
         training.release()
+    costs = [(k, float(fit.summary.trainingCost)) for k, fit in fits.items()]
     return df.sparkSession.createDataFrame(costs, "k int, cost double")
 
 

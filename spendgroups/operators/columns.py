@@ -18,7 +18,7 @@ from spendgroups.schema import (
     SCORE,
     TRAIN_DOMAIN,
 )
-from spendgroups.session import broadcast_if_few
+from spendgroups.session import broadcast_if_few, stored
 
 
 def fill_missing_columns(df: DataFrame, defaults: Mapping[str, object] = DEFAULTS) -> DataFrame:
@@ -34,12 +34,12 @@ def fill_missing_columns(df: DataFrame, defaults: Mapping[str, object] = DEFAULT
 def apply_opt_out(
     df: DataFrame, flags: Mapping[str, str], defaults: Mapping[str, object] = DEFAULTS
 ) -> DataFrame:
-    """Put the default where the flag column of a value is false."""
+    """Put the default where the flag column of a value is false; columns keep their types."""
     return df.withColumns(
         {
             name: F.when(
                 F.coalesce(F.col(flag), F.lit(True)), F.col(name)
-            ).otherwise(F.lit(defaults[name]).cast(COLUMN_TYPES[name]))
+            ).otherwise(F.lit(defaults[name]).cast(df.schema[name].dataType))
             for name, flag in flags.items()
         }
     )
@@ -99,7 +99,7 @@ def lookup_ids(
     ``first_by`` names the order in which the first of several rows with the
     same id is taken; without it all of them are returned.
     """
-    listed = broadcast_if_few(ids.select(key).distinct())
+    listed = broadcast_if_few(stored(ids.select(key).distinct(), "ids"))
     found = df.join(listed, key, "left_semi")
     if first_by is None:
         return found
@@ -115,5 +115,5 @@ def lookup_positions(
     df: DataFrame, positions: DataFrame, position: str = "position"
 ) -> DataFrame:
     """Rows at the listed 0-based positions of a table with a position column."""
-    listed = broadcast_if_few(positions.select(position).distinct())
+    listed = broadcast_if_few(stored(positions.select(position).distinct(), "positions"))
     return df.join(listed, position, "left_semi").select(*df.columns)

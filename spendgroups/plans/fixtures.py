@@ -16,6 +16,11 @@ def _cents(amount: str) -> Column:
     return F.round(F.col(amount) * 100).cast("bigint")
 
 
+def _div(amount: Column, by: int) -> Column:
+    """Whole-number quotient."""
+    return F.call_function("div", amount, F.lit(by))
+
+
 def profile(spark: SparkSession, folder: str) -> DataFrame:
     """Clean customers; whole numbers only."""
     spent = (
@@ -33,10 +38,10 @@ def profile(spark: SparkSession, folder: str) -> DataFrame:
             F.col("c_custkey").alias(CUSTOMER_ID),
             F.when(even, "Female").otherwise("Male").alias(GENDER),
             F.least(F.lit(70), 18 + 2 * n_orders).cast("int").alias(AGE),
-            (15 + F.floor((_cents("c_acctbal") + 100_000) * 122 / 1_100_000))
+            (15 + _div((_cents("c_acctbal") + 100_000) * 122, 1_100_000))
             .cast("int")
             .alias(INCOME),
-            F.least(F.lit(99), F.greatest(F.lit(1), F.floor(cents / 6_250_000)))
+            F.least(F.lit(99), F.greatest(F.lit(1), _div(cents, 6_250_000)))
             .cast("int")
             .alias(SCORE),
         )

@@ -6,37 +6,48 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from spendgroups.operators import distributions, quality
 from spendgroups.operators.cluster import GroupModel, assign_groups, fit_groups
-from spendgroups.operators.columns import apply_opt_out, fill_missing_columns, split_rejects
+from spendgroups.operators.columns import (
+    apply_opt_out,
+    cast_customers,
+    fill_missing_columns,
+    split_rejects,
+)
 from spendgroups.operators.profile import group_report
 from spendgroups.operators.quantiles import count_values
 from spendgroups.operators.scoring import score_customers
 from spendgroups.schema import FEATURES, GENDER, K_DEFAULT, NUMERIC
+from spendgroups.session import checkpointed, stored
 from spendgroups.sources import models
 
 
 def explore(df: DataFrame, bins: int | str = 20) -> dict[str, DataFrame]:
     """The tables that describe a customer table, by name.
 
-    The value counts behind the charts are taken once for all of them.
+    The value counts behind the charts are taken once for all of them; so are the one row
+    of measures behind the overview and the correlations, and the grid of points.
     """
     cols = [c for c in NUMERIC if c in df.columns]
     counts = count_values(df, cols)
+    overview = checkpointed(quality.table_overview(df, cols))
+    by = [GENDER] if GENDER in df.columns else []
+    grid = stored(distributions.point_grid(df, by=by[0] if by else None), "points")
     tables = {
-        "overview": quality.table_overview(df, cols),
+        "overview": overview,
         "duplicates": quality.duplicate_count(df),
-        "correlation": quality.correlation(df, cols),
+        "correlation": overview.select(F.inline("correlations")),
         "histogram": distributions.histogram(df, cols, bins, counts=counts),
         "density": distributions.density_curve(df, cols, counts=counts),
         "boxes": distributions.box_stats(df, cols, counts=counts),
         "outliers": distributions.box_outliers(df, cols, counts=counts),
-        "points": distributions.point_grid(df),
+        "points": grid.groupBy("x_bin", "y_bin").agg(F.sum("n").alias("n")),
     }
-    if GENDER in df.columns:
+    if by:
         tables["genders"] = distributions.count_by(df, GENDER)
-        tables["points_by_gender"] = distributions.point_grid(df, by=GENDER)
+        tables["points_by_gender"] = grid
     return tables
 
 
@@ -75,15 +86,22 @@ def score(
     name: str,
     root: str,
     flags: Mapping[str, str] | None = None,
+    raw: bool = False,
+    text_ids: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Score a table with a saved model: ``(scored, rejects)``.
 
     Columns that the table lacks get their defaults, as do the values for which the
-    column that ``flags`` names is false; an empty cell does not.
+    column that ``flags`` names is false; an empty cell does not. A ``raw`` table is cast
+    then, and rows with a cell that is missing or unreadable are the rejects, with
+    ``faults``; else the rejects are the rows without income or score.
     """
     df = fill_missing_columns(df)
     if flags:
         df = apply_opt_out(df, flags)
+    if raw:
+        df, unreadable = cast_customers(df, text_ids)
     record = models.model_record(spark, name, root)
     model = models.load_model(spark, name, root, record)
-    return score_customers(df, model, record, check_range=True, flags=flags)
+    scored, rejects = score_customers(df, model, record, check_range=True, flags=flags)
+    return scored, unreadable if raw else rejects

@@ -95,9 +95,9 @@ def _long(source: str, cols: tuple = ("Age", "AnnualIncome", "SpendingScore"), m
     return " UNION ALL ".join(parts)
 
 
-def _histogram(edges: str) -> str:
+def _histogram(edges: str, source: str = f"{PROFILE},", long: str = _long("profile")) -> str:
     """Bins found by comparing each value with the edges."""
-    return f"""WITH {PROFILE}, long AS ({_long("profile")}), edges AS ({edges}),
+    return f"""WITH {source} long AS ({long}), edges AS ({edges}),
     bins AS (
       SELECT "column", b.bin, first + b.bin * ((last - first) / bins) AS lo,
              CASE WHEN b.bin = bins - 1 THEN last
@@ -113,7 +113,7 @@ def _histogram(edges: str) -> str:
 
 def _boxes(long: str, key: str, source: str) -> str:
     by = f', "{key}"' if key else ""
-    return f"""WITH {source}, long AS ({long}),
+    return f"""WITH {source}{"," if source else ""} long AS ({long}),
     quartiles AS (
       SELECT "column"{by}, COUNT(*) AS n, quantile_cont(v, 0.25) AS q1,
              quantile_cont(v, 0.5) AS median, quantile_cont(v, 0.75) AS q3
@@ -181,14 +181,68 @@ GROUP_ROWS = f"""SELECT group_id, COUNT(*) AS n_rows, COUNT(Age) AS n_age,
        AVG(AnnualIncome) AS mean_income, AVG(SpendingScore) AS mean_score
 FROM grouped GROUP BY group_id"""
 
+
+def _prices(source: str, col: str, more: str = "") -> str:
+    return f"""SELECT '{col}' AS "column", {more} CAST({col} AS DOUBLE) AS v FROM {source}"""
+
+
+def _histogram20(source: str, long: str) -> str:
+    return _histogram(
+        'SELECT "column", MIN(v) AS first, MAX(v) AS last, 20 AS bins '
+        'FROM long GROUP BY "column"',
+        source,
+        long,
+    )
+
+
+def _density(source: str, long: str, places: int) -> str:
+    return f"""WITH {source} long AS ({long}), facts AS (
+          SELECT "column", COUNT(*) AS n, MIN(v) AS first, MAX(v) AS last,
+                 STDDEV_SAMP(v) * pow(COUNT(*), -0.2) AS h FROM long GROUP BY "column"),
+        equal AS (SELECT "column", v, COUNT(*) AS m FROM long GROUP BY "column", v),
+        grid AS (
+          SELECT facts.*, CAST(i AS INT) AS point, first + i * (last - first) / 199 AS x
+          FROM facts, range(200) r(i)),
+        curve AS (
+          SELECT "column", point, x, n, first, last,
+                 SUM(m * exp(-((x - v) / h) * ((x - v) / h) / 2)) / (n * h * sqrt(2 * pi())) AS d
+          FROM grid JOIN equal USING ("column")
+          GROUP BY "column", point, x, n, h, first, last)
+        SELECT "column", point, ROUND(x, 5) AS x, ROUND(d, {places}) AS density,
+               ROUND(d * n * (last - first) / 20, 5) AS height FROM curve"""
+
+
+# The group of each given (i, s): the nearest of the known means, in scaled units.
+NEAREST = """
+scale AS (
+  SELECT STDDEV_SAMP(AnnualIncome) AS si, STDDEV_SAMP(SpendingScore) AS ss FROM blobs),
+near AS (
+  SELECT i, s, arg_min(group_id, pow((i - mean_income) / si, 2)
+                                 + pow((s - mean_score) / ss, 2)) AS group_id
+  FROM (SELECT DISTINCT i, s FROM given), ids, scale GROUP BY i, s)"""
+
+NAMED_LIST = f"""{PROFILE},
+named AS (
+  SELECT CustomerID AS number, 'C-' || CustomerID AS CustomerID,
+         CASE WHEN CustomerID % 11 <> 0 THEN Gender END AS Gender, Age,
+         CASE WHEN CustomerID % 23 <> 0 THEN CAST(AnnualIncome AS DOUBLE) END AS AnnualIncome,
+         CASE WHEN CustomerID % 37 <> 0 THEN CAST(SpendingScore AS DOUBLE) END AS SpendingScore
+  FROM profile)"""
+
 ORACLE_SQL = {
     "csv_scan": f"WITH {PROFILE} {LOADED}",
     "saved_list_round_trip": f"WITH {PROFILE} {LOADED}",
     "preview": f"WITH {PROFILE} SELECT * FROM profile ORDER BY CustomerID LIMIT 5",
     "id_list": f"WITH {PROFILE} SELECT CustomerID FROM profile",
     "lookup_by_id": f"""WITH {DIRTY}
-        SELECT DISTINCT CustomerID, Gender, Age, SpendingScore FROM dirty
-        WHERE CustomerID IN
+        SELECT DISTINCT CustomerID, Gender,
+               CAST(CASE WHEN CustomerID % 50 = 0 THEN 76 ELSE Age END AS INT) AS Age,
+               AnnualIncome,
+               CASE WHEN CustomerID % 50 = 0 THEN 100.0::DOUBLE ELSE SpendingScore END
+                 AS SpendingScore,
+               CASE WHEN CustomerID % 50 = 0 THEN 2 * CustomerID ELSE 2 * CustomerID + 1 END
+                 AS position
+        FROM numbers WHERE CustomerID IN
           (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')""",
     "lookup_by_position": f"""WITH {PROFILE}, listed AS (
           SELECT ROW_NUMBER() OVER (ORDER BY CustomerID) - 1 AS position, * FROM profile)
@@ -272,10 +326,8 @@ ORACLE_SQL = {
                        - COUNT(AnnualIncome) - COUNT(SpendingScore) FROM numbers) AS n_missing,
                (SELECT ROUND(corr(Age, AnnualIncome), 6) FROM numbers) AS r_age_income,
                described.* FROM described""",
-    "hist20": _histogram(
-        'SELECT "column", MIN(v) AS first, MAX(v) AS last, 20 AS bins '
-        'FROM long GROUP BY "column"'
-    ),
+    "hist20": _histogram20(f"{PROFILE},", _long("profile")),
+    "hist_prices": _histogram20("", _prices("orders", "o_totalprice")),
     "hist_auto": _histogram(
         """SELECT "column", first, last, CAST(CEIL((last - first) / CASE
                   WHEN whole THEN GREATEST(width, 1) ELSE width END) AS INT) AS bins
@@ -288,20 +340,12 @@ ORACLE_SQL = {
                               bool_and(v = floor(v)) AS whole
                        FROM long GROUP BY "column"))"""
     ),
-    "density_curve": f"""WITH {PROFILE}, long AS ({_long("profile")}), facts AS (
-          SELECT "column", COUNT(*) AS n, MIN(v) AS first, MAX(v) AS last,
-                 STDDEV_SAMP(v) * pow(COUNT(*), -0.2) AS h FROM long GROUP BY "column"),
-        equal AS (SELECT "column", v, COUNT(*) AS m FROM long GROUP BY "column", v),
-        grid AS (
-          SELECT facts.*, CAST(i AS INT) AS point, first + i * (last - first) / 199 AS x
-          FROM facts, range(200) r(i)),
-        curve AS (
-          SELECT "column", point, x, n, first, last,
-                 SUM(m * exp(-((x - v) / h) * ((x - v) / h) / 2)) / (n * h * sqrt(2 * pi())) AS d
-          FROM grid JOIN equal USING ("column")
-          GROUP BY "column", point, x, n, h, first, last)
-        SELECT "column", point, ROUND(x, 5) AS x, ROUND(d, 8) AS density,
-               ROUND(d * n * (last - first) / 20, 5) AS height FROM curve""",
+    "density_curve": _density(f"{PROFILE},", _long("profile"), 8),
+    "density_prices": _density("", _prices("orders", "o_totalprice"), 12),
+    "box_prices": _boxes(
+        _prices("lineitem", "l_extendedprice", "l_returnflag,"), "l_returnflag", ""
+    )
+    + _box_rows("l_returnflag"),
     "box_stats": _boxes(_long("numbers"), "", DIRTY) + _box_rows(""),
     "box_outliers": _boxes(_long("numbers", more="CustomerID,"), "", DIRTY)
     + 'SELECT CustomerID, "column", v AS "value" FROM marked WHERE NOT inside',
@@ -355,6 +399,17 @@ ORACLE_SQL = {
         SELECT 5 AS k, ROUND(SUM(
           pow((AnnualIncome - mean_income) / si, 2) + pow((SpendingScore - mean_score) / ss, 2)
         ), 5) AS cost FROM blobs JOIN ids USING (part), scale""",
+    "elbow_sweep_all": f"""WITH {SCALED_BLOBS}
+        SELECT CAST(k AS INT) AS k, TRUE AS has_cost, TRUE AS same_cost,
+               CASE WHEN k = 5 THEN ROUND(cost, 5) END AS known_cost
+        FROM range(2, 11) r(k), (
+          SELECT SUM(pow((AnnualIncome - mean_income) / si, 2)
+                     + pow((SpendingScore - mean_score) / ss, 2)) AS cost
+          FROM blobs JOIN ids USING (part), scale)""",
+    "profile_report": """SELECT COUNT(*) AS n_rows, CAST(5 AS BIGINT) AS n_groups,
+               CAST(0 AS BIGINT) AS n_wrong_sizes, CAST(0 AS BIGINT) AS n_not_nearest,
+               CAST(0 AS BIGINT) AS n_wrong_means, CAST(0 AS BIGINT) AS n_wrong_strategies
+        FROM customer""",
     "group_report": f"""WITH {BLOBS}, {TEXTS}, rows AS ({GROUP_ROWS}), coded AS (
           SELECT *, {_code("mean_income", "mean_score")} AS code FROM rows)
         SELECT group_id, n_rows, n_age, ROUND(mean_income, 6) AS mean_income,
@@ -391,6 +446,40 @@ ORACLE_SQL = {
                  CASE WHEN SpendingScore < s0 OR SpendingScore > s1 THEN 'SpendingScore '
                       || SpendingScore || ' is outside ' || s0 || '-' || s1 END) AS warnings
         FROM numbers, box WHERE AnnualIncome IS NOT NULL AND SpendingScore IS NOT NULL""",
+    "score_with_defaults": f"""WITH {RAW_TEXT}, {BLOBS}, given AS (
+          SELECT id AS CustomerID, age AS Age, 50.0::DOUBLE AS s, kept,
+                 CASE WHEN kept THEN 60.0::DOUBLE ELSE income END AS i
+          FROM (SELECT *, CAST(regexp_extract(raw_id, '[0-9]+') AS BIGINT) % 4 = 0 AS kept
+                FROM cast_rows)
+          WHERE id IS NOT NULL AND age IS NOT NULL AND (kept OR income IS NOT NULL)),
+        {NEAREST}, box AS (
+          SELECT CAST(MIN(Age) AS DOUBLE) AS a0, CAST(MAX(Age) AS DOUBLE) AS a1,
+                 MIN(AnnualIncome) AS i0, MAX(AnnualIncome) AS i1 FROM blobs)
+        SELECT CustomerID, Age, i AS AnnualIncome, s AS SpendingScore, group_id,
+               {_code("i", "s")} AS customer_strategy,
+               concat_ws('; ',
+                 CASE WHEN Age < a0 OR Age > a1 THEN 'Age ' || Age
+                      || ' is outside ' || a0 || '-' || a1 END,
+                 CASE WHEN NOT kept AND (i < i0 OR i > i1) THEN 'AnnualIncome '
+                      || i || ' is outside ' || i0 || '-' || i1 END) AS warnings
+        FROM given JOIN near USING (i, s), box""",
+    "score_rows_in_memory": f"""WITH {BLOBS}, given AS (
+          SELECT MIN(CustomerID) AS CustomerID, MIN(Gender) AS Gender, MIN(Age) AS Age,
+                 MAX(AnnualIncome) AS i, MAX(SpendingScore) AS s FROM blobs GROUP BY part),
+        {NEAREST}
+        SELECT CustomerID, Gender, Age, i AS AnnualIncome, s AS SpendingScore, group_id,
+               {_code("mean_income", "mean_score")} AS group_strategy,
+               {_code("i", "s")} AS customer_strategy
+        FROM given JOIN near USING (i, s) JOIN ids USING (group_id)""",
+    "score_listed": f"""WITH {NAMED_LIST}, {BLOBS}, given AS (
+          SELECT *, AnnualIncome AS i, SpendingScore AS s FROM named
+          WHERE AnnualIncome IS NOT NULL AND SpendingScore IS NOT NULL AND number IN
+            (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')),
+        {NEAREST}
+        SELECT CustomerID, Gender, 39 AS Age, i AS AnnualIncome, s AS SpendingScore, group_id,
+               {_code("i", "s")} AS customer_strategy, 'five' AS model_name
+        FROM given JOIN near USING (i, s)""",
+    "saved_text_list": f"WITH {NAMED_LIST} SELECT * EXCLUDE (number) FROM named",
     "model_round_trip": "SELECT COUNT(*) AS n_rows, CAST(0 AS BIGINT) AS n_different "
     "FROM customer",
     "model_registry": f"""WITH {BLOBS}

@@ -9,7 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendgroups.functions.numbers import two_decimals
+from spendgroups.functions.numbers import number, two_decimals
 from spendgroups.functions.strategy import strategy
 from spendgroups.operators import columns, distributions, profile, quality, scoring
 from spendgroups.operators.cluster import (
@@ -21,7 +21,7 @@ from spendgroups.operators.cluster import (
     scaling_stages,
     squared_distance,
 )
-from spendgroups.plans import fixtures
+from spendgroups.plans import fixtures, flows
 from spendgroups.schema import (
     AGE,
     CUSTOMER_ID,
@@ -30,6 +30,9 @@ from spendgroups.schema import (
     GENDER,
     HEADER_MAP,
     INCOME,
+    K_DEFAULT,
+    K_MAX,
+    K_MIN,
     SCORE,
 )
 from spendgroups.session import new_folder
@@ -80,6 +83,32 @@ def saved_list_round_trip(spark, folder):
     return customers.current_customer_list(spark, root)
 
 
+def _named_list(spark: SparkSession, folder: str, *dropped: str) -> tuple[str, str]:
+    """Root and CSV of a customer list with text ids and some cells that are no value."""
+    key = F.col(CUSTOMER_ID)
+
+    def cells(name: str, n: int, word: str):
+        return F.when(key % n == 0, word).otherwise(F.col(name).cast("string"))
+
+    listed = fixtures.profile(spark, folder).withColumns(
+        {
+            CUSTOMER_ID: F.concat(F.lit("C-"), key.cast("string")),
+            GENDER: cells(GENDER, 11, "NA"),
+            INCOME: cells(INCOME, 23, "n/a"),
+            SCORE: cells(SCORE, 37, "unknown"),
+        }
+    )
+    root = new_folder(spark, "named-list")
+    return root, _as_csv(listed.drop(*dropped), f"{root}/upload")
+
+
+@query
+def saved_text_list(spark, folder):
+    root, path = _named_list(spark, folder)
+    customers.save_customer_list(spark, path, root, text_ids=True)
+    return customers.load_customer_list(spark, root)
+
+
 @query
 def preview(spark, folder):
     return customers.preview(fixtures.profile(spark, folder))
@@ -139,10 +168,13 @@ def id_list(spark, folder):
 def lookup_by_id(spark, folder):
     urgent = fixtures.table(spark, folder, "orders").where("o_orderpriority = '1-URGENT'")
     ids = urgent.select(F.col("o_custkey").alias(CUSTOMER_ID))
-    dirty = fixtures.profile_dirty(spark, folder)
-    return columns.lookup_ids(dirty, ids, first_by=[AGE, INCOME, SCORE]).select(
-        CUSTOMER_ID, GENDER, AGE, SCORE
+    key = F.col(CUSTOMER_ID)
+    rows = fixtures.profile_dirty(spark, folder).distinct()
+    rows = rows.withColumns({INCOME: number(INCOME), "position": 2 * key + 1})
+    earlier = rows.where(key % 50 == 0).withColumns(
+        {AGE: F.lit(76), SCORE: F.lit(100.0), "position": 2 * key}
     )
+    return columns.lookup_ids(rows.unionByName(earlier), ids, first_by=["position"])
 
 
 @query
@@ -299,6 +331,26 @@ def density_curve(spark, folder):
     return rounded(rounded(table, ["x", "height"], 5), ["density"], 8)
 
 
+@query
+def hist_prices(spark, folder):
+    orders = fixtures.table(spark, folder, "orders")
+    return rounded(distributions.histogram(orders, ["o_totalprice"]), ["lo", "hi"])
+
+
+@query
+def density_prices(spark, folder):
+    orders = fixtures.table(spark, folder, "orders")
+    table = distributions.density_curve(orders, ["o_totalprice"])
+    return rounded(rounded(table, ["x", "height"], 5), ["density"], 12)
+
+
+@query
+def box_prices(spark, folder):
+    lines = fixtures.table(spark, folder, "lineitem")
+    table = distributions.box_stats(lines, ["l_extendedprice"], by="l_returnflag")
+    return rounded(table, ["q1", "median", "q3", "lo", "hi"])
+
+
 @query
 def box_stats(spark, folder):
     table = distributions.box_stats(fixtures.profile_dirty(spark, folder))
@@ -401,8 +453,30 @@ def elbow_k5_cost(spark, folder):
 
 @query
 def elbow_sweep_all(spark, folder):
-    costs = elbow_sweep(fixtures.blobs(spark, folder))
-    return costs.withColumn("label", two_decimals("cost"))
+    """For each K: is there a cost, and is it what the rows and their centres give?
+
+    What K-means finds depends on its start, but for the five known groups.
+    """
+    training = Training(fixtures.blobs(spark, folder))
+    try:
+        fits = training.sweep(range(K_MIN, K_MAX + 1))
+        z = vector_to_array("features")
+        again = training.rows.agg(
+            *[
+                F.sum(nearest_centre([z[0], z[1]], fit.clusterCenters())["distance"]).alias(str(k))
+                for k, fit in fits.items()
+            ]
+        ).first()
+    finally:
+        training.release()
+    rows = [(k, float(fit.summary.trainingCost), again[str(k)]) for k, fit in fits.items()]
+    costs = spark.createDataFrame(rows, "k int, cost double, again double")
+    return costs.select(
+        "k",
+        (F.col("cost") > 0).alias("has_cost"),
+        (F.abs(F.col("cost") - F.col("again")) <= 1e-6 * F.col("again")).alias("same_cost"),
+        F.when(F.col("k") == K_DEFAULT, F.round("cost", 5)).alias("known_cost"),
+    )
 
 
 @query
@@ -427,14 +501,57 @@ def group_report_from_fit(spark, folder):
     return rounded(kept, ["mean_income", "mean_score"])
 
 
-@query
-def profile_report(spark, folder):
-    """The flagship: groups of customers without known groups."""
+def flagship(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of customers without known groups."""
     table = fixtures.loaded_profile(spark, folder)
     report = profile.group_report(assign_groups(table, fit_groups(table, 5)))
     return report.orderBy("group_id")
 
 
+@query
+def profile_report(spark, folder):
+    """The flagship's report, held against the rows it is about: counts of violations.
+
+    What K-means finds depends on its start; what must hold of any result does not.
+    """
+    table = fixtures.loaded_profile(spark, folder)
+    model = fit_groups(table, 5)
+    centres = [tuple(c) for c in model.pipeline.stages[-1].clusterCenters()]
+    z = vector_to_array("features")
+    assigned = F.array(*[squared_distance([z[0], z[1]], c) for c in centres])[F.col("prediction")]
+    nearest = nearest_centre([z[0], z[1]], centres)["distance"]
+    grouped = assign_groups(table, model)
+    again = grouped.groupBy("group_id").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.sum(INCOME).alias("income"),
+        F.sum(SCORE).alias("score"),
+        F.count_if(assigned > nearest + 1e-9).alias("far"),
+    )
+    income, score = F.col("income") / F.col("rows"), F.col("score") / F.col("rows")
+    rich, poor = income > 70, income < 40
+    much, little = score > 60, score < 40
+    code = (
+        F.when(rich & much, "vip")
+        .when(rich & little, "potential")
+        .when(poor & much, "risk")
+        .when(poor & little, "saver")
+        .otherwise("standard")
+    )
+    off = (F.abs(F.col("mean_income") - income) > 1e-9) | (F.abs(F.col("mean_score") - score) > 1e-9)
+    return (
+        profile.group_report(grouped)
+        .join(again, "group_id", "full")
+        .agg(
+            F.sum("n_rows").alias("n_rows"),
+            F.count(F.lit(1)).alias("n_groups"),
+            F.count_if(~F.equal_null("n_rows", "rows")).alias("n_wrong_sizes"),
+            F.sum("far").alias("n_not_nearest"),
+            F.count_if(F.coalesce(off, F.lit(True))).alias("n_wrong_means"),
+            F.count_if(~F.equal_null(F.col("strategy"), code)).alias("n_wrong_strategies"),
+        )
+    )
+
+
 # Scoring
 
 
@@ -465,3 +582,51 @@ def score_with_warnings(spark, folder):
     return scored.select(
         CUSTOMER_ID, "customer_strategy", F.array_join("warnings", "; ").alias("warnings")
     )
+
+
+@query
+def score_with_defaults(spark, folder):
+    """Cells as text, no score column, and every fourth customer keeps the income back."""
+    _, model = _blobs_model(spark, folder)
+    root = new_folder(spark, "models")
+    models.save_model(spark, model, "five", "notebook", root)
+    key = F.regexp_extract(CUSTOMER_ID, r"\d+", 0).cast("bigint")
+    raw = _raw_text(spark, folder).drop(SCORE).withColumn("use_income", key % 4 != 0)
+    scored, _ = flows.score(spark, raw, "five", root, flags={INCOME: "use_income"}, raw=True)
+    return scored.select(
+        CUSTOMER_ID,
+        AGE,
+        INCOME,
+        SCORE,
+        "group_id",
+        "customer_strategy",
+        F.array_join("warnings", "; ").alias("warnings"),
+    )
+
+
+@query
+def score_rows_in_memory(spark, folder):
+    """One customer for each of the five known groups, entered by hand."""
+    blobs, model = _blobs_model(spark, folder)
+    entered = blobs.groupBy(F.col(CUSTOMER_ID) % 5).agg(
+        F.min(CUSTOMER_ID), F.min(GENDER), F.min(AGE), F.max(INCOME), F.max(SCORE)
+    )
+    rows = customers.customers_from_rows(spark, [tuple(row)[1:] for row in entered.collect()])
+    scored, _ = scoring.score_customers(rows, model)
+    return scored.drop("description", "action")
+
+
+@query
+def score_listed(spark, folder):
+    """Customers picked by id from the saved list, which has no ages, and scored."""
+    _, model = _blobs_model(spark, folder)
+    models_root = new_folder(spark, "models")
+    models.save_model(spark, model, "five", "notebook", models_root)
+    root, path = _named_list(spark, folder, AGE)
+    listed = customers.current_customer_list(spark, root, path, text_ids=True)
+    urgent = fixtures.table(spark, folder, "orders").where("o_orderpriority = '1-URGENT'")
+    ids = urgent.select(F.concat(F.lit("C-"), F.col("o_custkey").cast("string")).alias(CUSTOMER_ID))
+    scored, _ = flows.score(spark, columns.lookup_ids(listed, ids), "five", models_root)
+    return scored.select(
+        CUSTOMER_ID, GENDER, AGE, INCOME, SCORE, "group_id", "customer_strategy", "model_name"
+    )

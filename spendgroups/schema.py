@@ -22,6 +22,11 @@ ENTRY_LIMITS = {AGE: (0, 120), INCOME: (0, 500), SCORE: (0, 200)}
 STRICT_LIMITS = {AGE: (18, 100), INCOME: (10, 200), SCORE: (1, 100)}
 K_MIN, K_MAX, K_DEFAULT = 2, 10, 5
 SEED = 42
+# Cells that stand for a missing value, as the pandas CSV reader takes them.
+MISSING_WORDS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
 # Columns of a pipeline; models saved elsewhere use the same names.
 ASSEMBLED, SCALED, CLUSTER = "features_raw", "features", "prediction"
 

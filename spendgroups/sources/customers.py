@@ -12,7 +12,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spendgroups.functions.numbers import number, time_text
-from spendgroups.schema import AGE, COLUMN_TYPES, CUSTOMER_ID, HEADER_MAP, customer_schema
+from spendgroups.schema import (
+    AGE,
+    COLUMN_TYPES,
+    CUSTOMER_ID,
+    HEADER_MAP,
+    MISSING_WORDS,
+    customer_schema,
+)
 from spendgroups.session import broadcast_if_few, checkpointed, stored
 
 
@@ -39,17 +46,13 @@ def read_customers(
     """Customer CSV with a header line.
 
     The header decides the order of the columns, the fixed schema their types.
-    In ``PERMISSIVE`` mode an unreadable cell becomes NULL, in ``FAILFAST`` mode
-    it fails the read. ``keep_nan`` leaves NaN in place, to be counted. A column
-    not in the schema is kept as text.
+    A cell that is unreadable or a word for a missing value becomes NULL, so that only
+    its row is refused later. A line with too few or too many cells is filled up or cut
+    in ``PERMISSIVE`` mode; in ``FAILFAST`` mode it fails the read. ``keep_nan`` leaves NaN
+    in number columns in place, to be counted. A column not in the schema is kept as text.
     """
     header = spark.read.option("header", True).csv(path).columns
-    types = {f.name: f.dataType for f in customer_schema(text_ids)}
-    types[AGE] = T.DoubleType()  # ages may be written as 25.0
-    fields = [
-        T.StructField(name, types.get(HEADER_MAP.get(name, name), T.StringType()))
-        for name in header
-    ]
+    fields = [T.StructField(name, T.StringType()) for name in header]
     table = (
         spark.read.schema(T.StructType(fields))
         .option("header", True)
@@ -58,6 +61,16 @@ def read_customers(
         .csv(path)
     )
     table = normalize_columns(table)
+    types = {f.name: f.dataType for f in customer_schema(text_ids)}
+    types[AGE] = T.DoubleType()  # ages may be written as 25.0
+    read = {}
+    for name in table.columns:
+        kind = types.get(name)
+        if isinstance(kind, T.StringType):
+            read[name] = F.when(~F.col(name).isin(*MISSING_WORDS), F.col(name))
+        elif kind is not None:
+            read[name] = F.col(name).try_cast(kind)
+    table = table.withColumns(read) if read else table
     return table if keep_nan else _loaded(table)
 
 
@@ -114,8 +127,8 @@ def save_customer_list(
     """Make a CSV the current customer list and return the path of its table.
 
     The table gets a folder of its own and is published by a record in the
-    index only after the write. A file that fails to parse raises and leaves
-    the list before it in use.
+    index only after the write. A file whose lines do not fit its header raises and
+    leaves the list before it in use; an unreadable cell is NULL in the list.
     """
     version = f"{time.time_ns():020d}-{uuid.uuid4().hex}"
     path = f"{root}/customer_list/{version}"
