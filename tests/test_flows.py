@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spendgroups import session
-from spendgroups.operators import columns
+from spendgroups.operators import columns, distributions, quality
 from spendgroups.plans import fixtures, flows
 
 
@@ -16,6 +16,39 @@ def test_explore(spark, folder):
     assert all(table.columns for table in tables.values())
 
 
+def test_explore_takes_shared_tables_once(spark, folder):
+    table = fixtures.loaded_profile(spark, folder)
+    tables = flows.explore(table)
+    for name, alone in {
+        "correlation": quality.correlation(table),
+        "points": distributions.point_grid(table),
+    }.items():
+        assert sorted(tables[name].collect()) == sorted(alone.collect())
+        plan = tables[name]._jdf.queryExecution().optimizedPlan().toString()
+        assert "o_custkey" not in plan and "c_custkey" not in plan
+
+
+def test_score_raw_cells(spark, folder, tmp_path):
+    flows.train(fixtures.blobs(spark, folder), "five", str(tmp_path))
+    cells = [
+        ("1", "30", "88", True), ("2", "31.7", "?", False), ("3", "40", "?", True),
+        ("x4", "40", "88", True), ("5", None, "88", True),
+    ]
+    raw = spark.createDataFrame(
+        cells, "CustomerID string, Age string, AnnualIncome string, given boolean"
+    )
+    flags = {"AnnualIncome": "given"}
+    scored, rejects = flows.score(spark, raw, "five", str(tmp_path), flags, raw=True)
+    assert sorted((r.CustomerID, r.Age, r.AnnualIncome, r.SpendingScore) for r in scored.collect()) == [
+        (1, 30, 88.0, 50.0), (2, 31, 60.0, 50.0)
+    ]
+    assert {r.CustomerID: r.faults for r in rejects.collect()} == {
+        "3": ["AnnualIncome"], "x4": ["CustomerID"], "5": ["Age"]
+    }
+    named, none = flows.score(spark, raw.limit(0), "five", str(tmp_path), raw=True, text_ids=True)
+    assert named.count() == none.count() == 0
+
+
 def test_explore_with_few_columns(spark, folder):
     tables = flows.explore(fixtures.loaded_profile(spark, folder).drop("Gender", "Age"))
     assert tables["boxes"].count() == 2 and "genders" not in tables

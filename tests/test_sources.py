@@ -52,8 +52,20 @@ def test_csv_text_ids_and_modes(spark, write):
     path = write(HEADER + "A7,Male,19,15,39\n")
     assert rows(src.read_customers(spark, path, text_ids=True))[0][0] == "A7"
     assert rows(src.read_customers(spark, path))[0][0] is None
-    with pytest.raises(Exception, match="MALFORMED|FAILED_READ|malformed"):
-        src.read_customers(spark, path, mode="FAILFAST").collect()
+    assert rows(src.read_customers(spark, path, mode="FAILFAST"))[0][0] is None
+    for line in ("1,Male,19\n", "1,Male,19,15,39,7\n"):
+        short = write(HEADER + line, f"cells{len(line)}.csv")
+        assert src.read_customers(spark, short).count() == 1
+        with pytest.raises(Exception, match="MALFORMED|FAILED_READ|malformed"):
+            src.read_customers(spark, short, mode="FAILFAST").collect()
+
+
+def test_csv_words_for_missing_values(spark, write):
+    lines = "1,NA,19,15,39\nn/a,Male,NA,null,NaN\n,None,x,1e1, 7\n"
+    path = write(HEADER + lines)
+    assert rows(src.read_customers(spark, path, text_ids=True)) == [
+        ("1", None, 19, 15.0, 39.0), (None, "Male", None, None, None), (None, None, None, 10.0, 7.0)
+    ]
 
 
 def test_rows_from_memory(spark):
@@ -72,8 +84,12 @@ def test_saved_list(spark, write, tmp_path):
     second = write(HEADER + "1,Male,19,15,39\n2,Male,20,16,40\n", "b.csv")
     assert src.current_customer_list(spark, root, second).count() == 2
     with pytest.raises(Exception):
-        src.current_customer_list(spark, root, write(HEADER + "1,Male,old,15,39\n", "c.csv"))
+        src.current_customer_list(spark, root, write(HEADER + "1,Male,19,15\n", "c.csv"))
     assert src.current_customer_list(spark, root).count() == 2
+    faulty = write(HEADER + "1,Male,old,15,39\n2,Male,20,16,40\n", "e.csv")
+    assert sorted(r.Age or 0 for r in src.current_customer_list(spark, root, faulty).collect()) == [
+        0, 20
+    ]
     text = write(HEADER + "C-7,Male,19,15,39\n", "d.csv")
     named = src.current_customer_list(spark, root, text, text_ids=True)
     assert [r.CustomerID for r in named.collect()] == ["C-7"]
