@@ -13,11 +13,14 @@ from spendgroups.llm.jaccard import jaccard_components
 from spendgroups.llm.lattice import near_duplicates
 from spendgroups.llm.mixing import mix_sources
 from spendgroups.llm.neighbours import nearest_neighbours
+from spendgroups.llm.periodic import runs_digest
+from spendgroups.llm.phrases import phrase_collocations
 from spendgroups.llm.pii import pii_digest
 from spendgroups.llm.ppm import language_ids
 from spendgroups.llm.secret_scan import secrets_digest
 from spendgroups.llm.tables import importable, table
 from spendgroups.llm.tokencount import token_counts
+from spendgroups.llm.topk import top_products
 from spendgroups.llm.toxicity import toxicity_scores
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,3 +87,18 @@ def op9_jaccard(spark, folder):
 @query
 def op10_token_counts(spark, folder):
     return token_counts(table(spark, folder, "documents"))
+
+
+@query
+def op11_periodic_runs(spark, folder):
+    return runs_digest(table(spark, folder, "documents"))
+
+
+@query
+def op12_phrases(spark, folder):
+    return phrase_collocations(table(spark, folder, "documents"))
+
+
+@query
+def op13_top_products(spark, folder):
+    return top_products(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
