@@ -24,8 +24,8 @@ from spendgroups.llm.vectors import commonest_length, dots, matrix, usable
 # The index is learned from at most this many rows, in the order of a hash.
 SAMPLE = 8192
 PARTS = 32
-# Fewer rows than this for each part are searched without parts.
-PART_ROWS = 64
+# A small sample is cut into fewer parts, of no fewer rows than this.
+PART_ROWS = 24
 GRAPH_DEGREE = 10
 HIDDEN = 96
 # The share of true neighbours that the parts visited have to hold, as measured on rows of
@@ -231,7 +231,8 @@ def nearest_neighbours(
 
     The nearest by inner product, in double precision on the vectors as they are, nearest
     first; of equal ones the smaller id. A row is never its own neighbour. All rows are
-    indexed; the classifier is fitted on at most ``sample`` of them. A query visits as many
+    indexed; the classifier is fitted on at most ``sample`` of them, cut into ``parts`` parts
+    or into one for each 24 rows, if that is less. A query visits as many
     parts as the wanted ``recall`` takes, and more if those hold too few rows; if
     there are fewer than ``nearest`` other rows, it gets all of them.
 
@@ -249,7 +250,7 @@ def nearest_neighbours(
     order = F.xxhash64("embedding", "vec_id")
     learned = kept.orderBy(order).limit(sample).select("embedding").toArrow()
     x = matrix(learned["embedding"], d) if d and len(learned) else np.zeros((0, max(d, 1)))
-    parts = parts if len(x) >= parts * PART_ROWS else 1
+    parts = max(1, min(parts, len(x) // PART_ROWS))
     router = learn_router(x, parts, nearest, recall)
     placed = stored(
         _routed(kept.select("vec_id", "embedding"), router, d, 1, 0).select(

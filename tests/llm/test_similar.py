@@ -207,3 +207,47 @@ def test_neighbours_recall_and_order(spark):
         assert got == sorted(got, key=lambda p: (-p[1], p[0]))
         hits += len({j for _, j in order} & {j for j, _ in got})
     assert hits >= 0.9 * 20 * 60
+
+
+def test_an_id_on_several_texts(spark, documents):
+    rng = random.Random(8)
+    a, b = (" ".join(rng.choices([f"{x}{i}" for i in range(300)], k=60)) for x in "ab")
+    texts = [a, a + " end", b, b + " end", a, None, "", b]
+    ids = [0, 1, 1, 5, 0, 1, 1, None]
+    rows = jaccard.jaccard_components(documents(texts, ids=ids)).collect()
+    found = sorted((r.doc_id if r.doc_id is not None else -1, r.n_shingles, r.component_id) for r in rows)
+    n = len(shingles(a)), len(shingles(b))
+    m = len(shingles(a + " end")), len(shingles(b + " end"))
+    assert found == sorted([(0, n[0], 0), (1, m[0], 0), (1, n[1], 1), (5, m[1], 1), (0, n[0], 0), (1, 0, 1), (1, 0, 1), (-1, n[1], 1)])
+
+
+def test_sets_without_any_id(spark, documents):
+    rng = random.Random(9)
+    a = " ".join(rng.choices([f"a{i}" for i in range(300)], k=60))
+    rows = jaccard.jaccard_components(documents([a, a + " end"], ids=[None, 4])).collect()
+    assert [r.component_id for r in rows] == [4, 4]
+
+
+@pytest.mark.parametrize("n", [60, 500, 2000])
+def test_neighbours_come_through_learned_parts(spark, n, monkeypatch):
+    from spendgroups.llm import neighbours
+
+    rng = np.random.default_rng(n)
+    centres = rng.normal(size=(12, 24))
+    x = (centres[rng.integers(0, 12, n)] + rng.normal(size=(n, 24)) * 0.5).astype(np.float32)
+    learned = []
+    real = neighbours.learn_router
+    monkeypatch.setattr(neighbours, "learn_router", lambda *a: learned.append(a[1]) or real(*a))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    found = nearest_neighbours(table, F.col("vec_id") % 20 == 0).collect()
+    assert learned[0] > 1
+    pairs = {(r.query_id, r.vec_id) for r in found}
+    y = x.astype(np.float64)
+    hits = wanted = 0
+    for q in range(0, n, 20):
+        scores = y @ y[q]
+        scores[q] = -np.inf
+        best = np.argsort(-scores, kind="stable")[:20]
+        hits += sum((q, int(j)) in pairs for j in best)
+        wanted += len(best)
+    assert hits >= 0.9 * wanted
