@@ -174,8 +174,9 @@ def find_pii(
 
 
 def redact(docs: DataFrame, text: str = "text", spans: str = "pii") -> DataFrame:
-    """Replace every span by its kind in brackets; of overlapping spans the earliest,
-    then the longest, counts. A NULL text stays NULL; the span column goes."""
+    """Replace every span by its kind in brackets. Spans that overlap are cut out together
+    and get the kind of the earliest, then the longest. A NULL text stays NULL; the span
+    column goes."""
     body, found = F.col(f"`{text}`"), F.col(f"`{spans}`")
     ordered = F.array_sort(
         F.transform(
@@ -195,7 +196,10 @@ def redact(docs: DataFrame, text: str = "text", spans: str = "pii") -> DataFrame
                 state["out"], gap, F.lit("["), F.upper(s["kind"]), F.lit("]")
             ).alias("out"),
         )
-        return F.when(s["start"] >= state["at"], moved).otherwise(state)
+        longer = F.struct(
+            F.greatest(state["at"], -s["minus"]).alias("at"), state["out"].alias("out")
+        )
+        return F.when(s["start"] >= state["at"], moved).otherwise(longer)
 
     cut = F.aggregate(
         ordered,

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from spendgroups.llm.spans import joined, located, spans_where
 from spendgroups.llm.tables import stored
-from spendgroups.session import new_folder
+from spendgroups.session import broadcast_if_few, new_folder
 
 # In either case, for ASCII letters only.
 _KEYWORD = (
@@ -92,23 +92,27 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
 def unseen(docs: DataFrame, ledger: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """``blob, text, todo``: each version once, with the rules not yet run on it.
 
-    Copies of one text are reduced to one row in each task before they are shuffled.
+    Addresses are compared with the ledger first, so that texts it knows are not shuffled.
+    Copies of one text are reduced to one row in each task before they are.
     """
     wanted = F.array(*[F.lit(rule.name) for rule in rules])
-    blobs = docs.groupBy(blob_name(F.col("text")).alias("blob")).agg(
-        F.first("text", ignorenulls=True).alias("text")
-    )
+    named = docs.select(blob_name(F.col("text")).alias("blob"), "text")
+    text = F.first("text", ignorenulls=True).alias("text")
     if ledger.isEmpty():
-        return blobs.withColumn("todo", wanted)
+        return named.groupBy("blob").agg(text).withColumn("todo", wanted)
     done = ledger.select("blob", F.explode("rules").alias("rule")).groupBy("blob").agg(
         F.collect_set("rule").alias("done")
     )
-    return (
-        blobs.join(done, "blob", "left")
-        .withColumn("todo", F.array_except(wanted, F.coalesce("done", F.array().cast("array<string>"))))
+    rest = F.array_except(wanted, F.coalesce("done", F.array().cast("array<string>")))
+    due = (
+        named.select("blob")
+        .distinct()
+        .join(done, "blob", "left")
+        .select("blob", rest.alias("todo"))
         .where(F.size("todo") > 0)
-        .select("blob", "text", "todo")
     )
+    due = broadcast_if_few(stored(due, "due"))
+    return named.join(due, "blob").groupBy("blob").agg(text, F.first("todo").alias("todo"))
 
 
 def _test(rule: Rule) -> Callable[[Column], Column]:
@@ -168,8 +172,9 @@ def scan_secrets(
     # Written out so that the join below has a plain shuffle on both sides; the side of
     # a version with very many rows can then be split.
     hits = stored(
+        # A set, as runs at the same time may both have recorded a version.
         current.groupBy("blob").agg(
-            F.array_sort(F.collect_list(F.struct("start", "rank", "end", "rule", "kind"))).alias("hits")
+            F.array_sort(F.collect_set(F.struct("start", "rank", "end", "rule", "kind"))).alias("hits")
         ),
         "hits",
     )

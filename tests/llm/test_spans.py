@@ -140,3 +140,20 @@ def test_rows_without_id_repeats_and_empty_tables(documents, digest):
     docs = documents(["a@b.cc token=abcdef1"] * 3, ids=[None, 7, 7])
     assert digest(docs).count() == 3
     assert digest(docs.limit(0)).count() == 0
+
+
+def test_overlapping_spans_are_cut_out_together(spark, documents):
+    docs = documents(["a 4111 1111 1111 1 111.22.33.44 b", "x@y.org"])
+    rows = redact(find_pii(docs)).orderBy("doc_id").collect()
+    assert [r.text for r in rows] == ["a [CARD] b", "[EMAIL]"]
+
+
+def test_a_ledger_with_repeated_rows(spark, documents, tmp_path):
+    path = f"{tmp_path}/ledger"
+    docs = documents(["token=abcdef1", "none"])
+    first = scan_secrets(docs, path).collect()
+    spark.read.parquet(path).write.parquet(f"{tmp_path}/copy")
+    spark.read.parquet(f"{tmp_path}/copy").write.mode("append").parquet(path)
+    assert sorted(map(repr, scan_secrets(docs, path).collect())) == sorted(map(repr, first))
+    more = scan_secrets(documents(["token=abcdef1", "secret: abcdef2", None]), path).collect()
+    assert [len(r.findings) for r in sorted(more, key=lambda r: r.doc_id)] == [1, 1, 0]
