@@ -3,6 +3,7 @@
 import random
 
 import corpus_pipeline
+from pyspark.sql import functions as F
 from spendgroups.llm import bpe
 from spendgroups.llm.mixing import mix_sources
 from test_models import LANGS, written
@@ -52,3 +53,29 @@ def test_repeats_no_ids_and_empty_tables(spark, documents, tmp_path):
     empty = docs.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, "").count() == 0
+
+
+def test_ids_that_stand_on_several_texts(spark, documents, tmp_path):
+    a, b = (" ".join(f"{x}{i}" for i in range(40)) for x in "ab")
+    docs = documents([a, a + " end", b, b + " end"], ids=[0, 1, 1, 5])
+    kept = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(0, a), (1, b)]
+    docs = documents([a, a + " end", b], ids=[0, 1, 1])
+    kept = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(0, a), (1, b)]
+    docs = documents([a, b, b + " end", None, "", ""], ids=[3] * 6)
+    kept = corpus_pipeline.drop_near_copies(spark, docs, "").collect()
+    assert sum(r.text == a for r in kept) == 1 and sum(r.text in (b, b + " end") for r in kept) == 1
+    assert len(kept) == 4
+
+
+def test_names_that_clash_or_need_quotes(spark, documents, tmp_path):
+    docs = documents(["ba bo ka li mo one@two.org", "ka ka ka"], ["aa", "aa"], ids=[1, 2])
+    for n, name in enumerate(["_row", "_copies", "_nth", "_times", "_time", "_text_id", "a.b"]):
+        docs = docs.withColumn(name, F.lit(n))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, docs, "")
+        assert found.columns == docs.columns
+        rows = found.collect()
+        assert all((r["_row"], r["_copies"], r["_time"], r["a.b"]) == (0, 1, 4, 6) for r in rows) and rows
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, "").count() == 2
