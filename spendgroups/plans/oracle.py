@@ -479,6 +479,24 @@ ORACLE_SQL = {
         SELECT CustomerID, Gender, 39 AS Age, i AS AnnualIncome, s AS SpendingScore, group_id,
                {_code("i", "s")} AS customer_strategy, 'five' AS model_name
         FROM given JOIN near USING (i, s)""",
+    "score_listed_position": f"""WITH {PROFILE}, {BLOBS}, given AS (
+          SELECT ROW_NUMBER() OVER (ORDER BY CustomerID) - 1 AS position, Gender, Age,
+                 CAST(AnnualIncome AS DOUBLE) AS i, CAST(SpendingScore AS DOUBLE) AS s
+          FROM profile),
+        {NEAREST}
+        SELECT position, Gender, Age, i AS AnnualIncome, s AS SpendingScore, group_id,
+               {_code("i", "s")} AS customer_strategy, 'five' AS model_name
+        FROM given JOIN near USING (i, s) WHERE position IN
+          (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')""",
+    "lookup_listed_id": f"""WITH {PROFILE}
+        SELECT CustomerID, Gender, Age, CAST(AnnualIncome AS DOUBLE) AS AnnualIncome,
+               CAST(SpendingScore AS DOUBLE) AS SpendingScore
+        FROM profile WHERE CustomerID IN
+          (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')""",
+    "saved_list_schema": """
+        SELECT f.name AS "column", f.kind AS type, (SELECT COUNT(*) FROM customer) AS n_rows
+        FROM (VALUES ('CustomerID', 'string'), ('Gender', 'string'), ('Age', 'int'),
+          ('AnnualIncome', 'double'), ('SpendingScore', 'double')) f(name, kind)""",
     "saved_text_list": f"WITH {NAMED_LIST} SELECT * EXCLUDE (number) FROM named",
     "model_round_trip": "SELECT COUNT(*) AS n_rows, CAST(0 AS BIGINT) AS n_different "
     "FROM customer",

@@ -36,7 +36,7 @@ from spendgroups.schema import (
     SCORE,
 )
 from spendgroups.session import new_folder
-from spendgroups.sources import customers, models
+from spendgroups.sources import customers, listed, models
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -623,10 +623,49 @@ def score_listed(spark, folder):
     models_root = new_folder(spark, "models")
     models.save_model(spark, model, "five", "notebook", models_root)
     root, path = _named_list(spark, folder, AGE)
-    listed = customers.current_customer_list(spark, root, path, text_ids=True)
+    current = customers.current_customer_list(spark, root, path, text_ids=True)
     urgent = fixtures.table(spark, folder, "orders").where("o_orderpriority = '1-URGENT'")
     ids = urgent.select(F.concat(F.lit("C-"), F.col("o_custkey").cast("string")).alias(CUSTOMER_ID))
-    scored, _ = flows.score(spark, columns.lookup_ids(listed, ids), "five", models_root)
+    scored, _ = flows.score(spark, columns.lookup_ids(current, ids), "five", models_root)
     return scored.select(
         CUSTOMER_ID, GENDER, AGE, INCOME, SCORE, "group_id", "customer_strategy", "model_name"
     )
+
+
+@query
+def score_listed_position(spark, folder):
+    """Customers picked by position from the saved list, which has no ids, and scored."""
+    _, model = _blobs_model(spark, folder)
+    models_root, root = new_folder(spark, "models"), new_folder(spark, "list")
+    models.save_model(spark, model, "five", "notebook", models_root)
+    rows = fixtures.profile(spark, folder).orderBy(CUSTOMER_ID).drop(CUSTOMER_ID)
+    customers.save_customer_list(spark, _as_csv(rows, f"{root}/upload"), root)
+    urgent = fixtures.table(spark, folder, "orders").where("o_orderpriority = '1-URGENT'")
+    positions = urgent.select(F.col("o_custkey").alias("position"))
+    found = listed.lookup_listed_positions(spark, root, positions)
+    scored, _ = flows.score(spark, found, "five", models_root)
+    return scored.select(
+        "position", GENDER, AGE, INCOME, SCORE, "group_id", "customer_strategy", "model_name"
+    )
+
+
+@query
+def lookup_listed_id(spark, folder):
+    """The first row of each listed id in the saved list, where every fifth id stands twice."""
+    root = new_folder(spark, "list")
+    table = fixtures.profile(spark, folder)
+    again = table.where(F.col(CUSTOMER_ID) % 5 == 0).withColumn(AGE, F.lit(99))
+    rows = table.withColumn("nth", F.lit(0)).unionByName(again.withColumn("nth", F.lit(1)))
+    rows = rows.orderBy("nth", CUSTOMER_ID).drop("nth")
+    customers.save_customer_list(spark, _as_csv(rows, f"{root}/upload"), root)
+    urgent = fixtures.table(spark, folder, "orders").where("o_orderpriority = '1-URGENT'")
+    ids = urgent.select(F.col("o_custkey").alias(CUSTOMER_ID))
+    return listed.lookup_listed_ids(spark, root, ids)
+
+
+@query
+def saved_list_schema(spark, folder):
+    root, path = _named_list(spark, folder)
+    customers.save_customer_list(spark, path, root, text_ids=True)
+    count = listed.current_list(spark, root)["n_rows"]
+    return listed.list_schema(spark, root).withColumn("n_rows", F.lit(count).cast("bigint"))

@@ -37,6 +37,8 @@ def shared_root(spark: SparkSession) -> str:
     """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if root and root.startswith("file:") and not context.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir names a folder of one machine")
     if not root:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
@@ -55,6 +57,11 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder that ``new_folder`` named and that nothing reads any more."""
     if f"{shared_root(spark)}/spendgroups/" not in f"{path}/":
         raise ValueError(f"not a folder of ours: {path}")
+    remove_tree(spark, path)
+
+
+def remove_tree(spark: SparkSession, path: str) -> None:
+    """Remove a folder with all that is in it, on whatever file system it is."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 

@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-import time
-import uuid
 from collections.abc import Iterable, Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spendgroups.functions.numbers import number, time_text
+from spendgroups.functions.numbers import number
 from spendgroups.schema import (
     AGE,
     COLUMN_TYPES,
@@ -21,6 +18,7 @@ from spendgroups.schema import (
     customer_schema,
 )
 from spendgroups.session import broadcast_if_few, checkpointed, stored
+from spendgroups.sources import listed
 
 
 def normalize_columns(df: DataFrame, names: Mapping[str, str] = HEADER_MAP) -> DataFrame:
@@ -124,34 +122,20 @@ def with_position(df: DataFrame, name: str = "position") -> DataFrame:
 def save_customer_list(
     spark: SparkSession, csv_path: str, root: str, text_ids: bool = False
 ) -> str:
-    """Make a CSV the current customer list and return the path of its table.
+    """Make a CSV the current customer list and return the path of its folder.
 
-    The table gets a folder of its own and is published by a record in the
-    index only after the write. A file whose lines do not fit its header raises and
-    leaves the list before it in use; an unreadable cell is NULL in the list.
+    The rows are kept with their positions in the file, laid out for lookups. A file whose
+    lines do not fit its header raises and leaves the list before it in use; an
+    unreadable cell is NULL in the list.
     """
-    version = f"{time.time_ns():020d}-{uuid.uuid4().hex}"
-    path = f"{root}/customer_list/{version}"
-    read_customers(spark, csv_path, mode="FAILFAST", text_ids=text_ids).write.parquet(path)
-    record = spark.range(1).select(
-        F.lit(version).alias("version"), F.lit(path).alias("path"), time_text().alias("date")
-    )
-    record.write.mode("append").json(f"{root}/customer_list_index")
-    return path
+    rows = read_customers(spark, csv_path, mode="FAILFAST", text_ids=text_ids)
+    return listed.write_list(with_position(rows, listed.POSITION), root)
 
 
 def load_customer_list(spark: SparkSession, root: str) -> DataFrame:
     """The customer list saved last."""
-    try:
-        index = spark.read.schema("version string, path string, date string").json(
-            f"{root}/customer_list_index"
-        )
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            raise FileNotFoundError(f"no customer list saved under {root}") from error
-        raise
-    path = index.agg(F.max_by("path", "version")).first()[0]
-    return spark.read.parquet(path)
+    rows = listed.list_rows(spark, listed.current_list(spark, root))
+    return rows.drop(listed.POSITION, listed.BLOCK)
 
 
 def current_customer_list(

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import time
 import uuid
 from collections.abc import Mapping
 
@@ -13,6 +12,7 @@ from pyspark.sql import functions as F
 
 from spendgroups.functions.numbers import time_text
 from spendgroups.operators.cluster import GroupModel
+from spendgroups.sources import commits
 
 # The first five fields are found in every record, the others only in our own.
 META_FIELDS = {
@@ -45,11 +45,13 @@ def save_model(
 
     A model of the same name is replaced: the new one is written to a folder of
     its own, and its record, added last, makes it the one that counts. If the
-    write fails, the older model stays in place.
+    write fails, the older model stays in place. Of two writers the one whose record
+    gets the higher number wins, whatever their clocks say.
     """
-    version = f"{time.time_ns():020d}-{uuid.uuid4().hex}"
-    path = f"{root}/{_checked(name)}/{version}"
+    path = f"{root}/{_checked(name)}/{uuid.uuid4().hex}"
     fitted.pipeline.write().overwrite().save(path)
+    # The letter puts numbers behind the times that older records have.
+    version = f"n{commits.claim(spark, f'{root}/{name}_versions'):012d}"
     on_hdfs = path.startswith("hdfs:")
     record = {
         "name": name,

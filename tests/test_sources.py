@@ -1,4 +1,7 @@
 import json
+import os
+import time
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +12,7 @@ from spendgroups.operators.cluster import assign_groups, fit_groups
 from spendgroups.plans import fixtures
 from spendgroups.schema import DEFAULTS, DISPLAY_DEFAULTS, customer_schema
 from spendgroups.sources import customers as src
-from spendgroups.sources import models
+from spendgroups.sources import commits, listed, models
 
 HEADER = "CustomerID,Gender,Age,Annual Income (k$),Spending Score (1-100)\n"
 
@@ -215,3 +218,89 @@ def test_shared_root(spark):
     assert root and spark.sparkContext.getCheckpointDir()
     assert session.new_folder(spark, "a") != session.new_folder(spark, "a")
     assert session.new_folder(spark, "a").startswith(root)
+
+
+def scans(df):
+    """Metrics of the file scans of a plan that has been run."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().finalPhysicalPlan()
+    leaves, found = plan.collectLeaves(), []
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        while "QueryStage" in leaf.getClass().getSimpleName():
+            inner = leaf.plan().collectLeaves()
+            leaf = inner.apply(0)
+        found.append(leaf)
+    return found
+
+
+def test_lookups_read_a_part_of_the_list(spark, write, tmp_path):
+    lines = [f"{i // 2},Male,{i % 90},{i},{i}" for i in range(1000)]
+    path = write(HEADER + "\n".join(lines) + "\n", "many.csv")
+    table = src.read_customers(spark, path)
+    root = str(tmp_path / "store")
+    listed.write_list(src.with_position(table, listed.POSITION), root, block_rows=100)
+    assert src.load_customer_list(spark, root).count() == 1000
+    asked = spark.createDataFrame([(15,), (207,), (15,), (5000,), (-1,), (None,)], "position long")
+    found = listed.lookup_listed_positions(spark, root, asked)
+    assert sorted((r.position, r.AnnualIncome) for r in found.collect()) == [(15, 15.0), (207, 207.0)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan and "GreaterThanOrEqual(_position,15)" in plan
+    rows = [s for s in scans(found) if "_position" in s.toString() and s.metrics().contains("numFiles")]
+    # Blocks 0 and 2 of 10, whose files are no more than the two parts of the CSV each.
+    assert max(s.metrics().apply("numFiles").value() for s in rows) <= 4
+    none = spark.createDataFrame([(7777,)], "position long")
+    assert listed.lookup_listed_positions(spark, root, none).count() == 0
+    ids = spark.createDataFrame([(3,), (3,), (250,), (None,), (9999,)], "CustomerID long")
+    first = listed.lookup_listed_ids(spark, root, ids).collect()
+    assert sorted((r.CustomerID, r.AnnualIncome) for r in first) == [(3, 6.0), (250, 500.0)]
+
+
+def test_empty_and_nameless_lists(spark, write, tmp_path):
+    root = str(tmp_path / "store")
+    assert src.current_customer_list(spark, root, write(HEADER, "none.csv")).count() == 0
+    assert listed.lookup_listed_positions(spark, root, spark.range(3).toDF("position")).count() == 0
+    assert listed.lookup_listed_ids(spark, root, spark.range(3).toDF("CustomerID")).count() == 0
+    nameless = write(HEADER.replace("CustomerID,", "") + "Male,19,15,39\n", "nameless.csv")
+    src.save_customer_list(spark, nameless, root)
+    with pytest.raises(ValueError):
+        listed.lookup_listed_ids(spark, root, spark.range(3).toDF("CustomerID"))
+    assert listed.lookup_listed_positions(spark, root, spark.range(3).toDF("position")).count() == 1
+    assert [r.type for r in listed.list_schema(spark, root).collect()] == ["string", "int", "double", "double"]
+
+
+def test_old_lists_go(spark, write, tmp_path):
+    root = str(tmp_path / "store")
+    paths = [
+        src.save_customer_list(spark, write(HEADER + f"{i},Male,19,15,39\n", f"{i}.csv"), root)
+        for i in range(4)
+    ]
+    assert listed.drop_old_lists(spark, root, keep=2) == 2
+    assert [os.path.exists(p) for p in paths] == [False, False, True, True]
+    assert src.load_customer_list(spark, root).first().CustomerID == 3
+    assert listed.drop_old_lists(spark, root, keep=2) == 0
+    with pytest.raises(ValueError):
+        listed.drop_old_lists(spark, root, keep=0)
+
+
+def test_writers_at_the_same_time_get_different_numbers(spark, tmp_path):
+    folder = str(tmp_path / "index")
+    with ThreadPoolExecutor(8) as pool:
+        numbers = list(pool.map(lambda i: commits.publish(spark, folder, {"i": i}), range(24)))
+    assert sorted(numbers) == list(range(24))
+    assert commits.current(spark, folder) == {"i": numbers.index(23)}
+    # A writer that was lost after its claim, and one that was lost while it wrote.
+    lost = commits.claim(spark, folder)
+    (tmp_path / "index" / f"{lost + 1:012d}.writing").write_text('{"i"')
+    assert commits.current(spark, folder) == {"i": numbers.index(23)}
+    assert commits.publish(spark, folder, {"i": 99}) == lost + 1
+    assert commits.current(spark, folder) == {"i": 99}
+
+
+def test_a_clock_that_was_set_back(spark, write, tmp_path, monkeypatch):
+    root = str(tmp_path / "store")
+    src.save_customer_list(spark, write(HEADER + "1,Male,19,15,39\n", "a.csv"), root)
+    monkeypatch.setattr(time, "time_ns", lambda: 5)
+    monkeypatch.setattr(time, "time", lambda: 5.0)
+    src.save_customer_list(spark, write(HEADER + "2,Male,19,15,39\n", "b.csv"), root)
+    assert src.load_customer_list(spark, root).first().CustomerID == 2
