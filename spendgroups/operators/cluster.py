@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import StandardScaler, StandardScalerModel, VectorAssembler
@@ -29,6 +30,9 @@ from spendgroups.schema import (
 )
 from spendgroups.session import new_folder, remove_folder
 
+# Fits of a sweep that run at the same time.
+AT_ONCE = 4
+
 
 @dataclass
 class GroupModel:
@@ -135,12 +139,19 @@ class Training:
     def kmeans(self, k: int, seed: int = SEED) -> KMeansModel:
         return kmeans_stage(_checked_k(k), seed).fit(self.rows)
 
-    def sweep(self, ks: Iterable[int], seed: int = SEED) -> dict[int, KMeansModel]:
-        """A fit for each K; the scaled rows are kept, in memory or on disk, till the last."""
+    def sweep(
+        self, ks: Iterable[int], seed: int = SEED, at_once: int = AT_ONCE
+    ) -> dict[int, KMeansModel]:
+        """A fit for each K, some of them at the same time: a fit is a row of short jobs, and
+        most of the cluster is idle between them. The scaled rows are kept, in memory or on
+        disk, till the last. A fit does not depend on the others."""
         ks = [_checked_k(k) for k in ks]
         rows, self.rows = self.rows, self.rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            return {k: self.kmeans(k, seed) for k in ks}
+            self.rows.count()
+            with ThreadPool(max(1, min(at_once, len(ks)))) as pool:
+                fit = inheritable_thread_target(self.spark)(lambda k: self.kmeans(k, seed))
+                return dict(zip(ks, pool.map(fit, ks, chunksize=1)))
         finally:
             self.rows.unpersist()
             self.rows = rows

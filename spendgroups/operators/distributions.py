@@ -18,7 +18,6 @@ from spendgroups.functions.numbers import is_number, number
 from spendgroups.operators.quantiles import (
     ValueCounts,
     count_values,
-    exact_quantiles,
     long_values,
 )
 from spendgroups.schema import INCOME, NUMERIC, SCORE
@@ -45,7 +44,7 @@ def _bin_edges(values: DataFrame, bins: int | str, counts: ValueCounts | None) -
     if bins != "auto":
         chosen = F.lit(int(bins))
     else:
-        quartiles = exact_quantiles(counts, {"q1": 0.25, "q3": 0.75})
+        quartiles = counts.quantiles({"q1": 0.25, "q3": 0.75})
         edges = edges.join(F.broadcast(quartiles), "column")
         spread = F.col("last") - F.col("first")
         size = F.col("total").cast("double")
@@ -204,7 +203,7 @@ def density_curve(
 
 
 def _fences(counts: ValueCounts) -> DataFrame:
-    quartiles = exact_quantiles(counts, {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    quartiles = counts.quantiles({"q1": 0.25, "median": 0.5, "q3": 0.75})
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     return quartiles.withColumns(
         {"low_fence": F.col("q1") - reach, "high_fence": F.col("q3") + reach}

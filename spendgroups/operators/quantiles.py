@@ -62,6 +62,9 @@ class ValueCounts:
             .drop("_salt")
         )
 
+    def quantiles(self, probs: Mapping[str, float]) -> DataFrame:
+        return exact_quantiles(self, probs)
+
 
 def long_values(
     df: DataFrame, cols: Sequence[str], keep: Sequence[str] = (), grain: float | None = None
@@ -130,9 +133,9 @@ def exact_quantiles(counts: ValueCounts, probs: Mapping[str, float]) -> DataFram
         holds = (rank >= F.col("end") - F.col("n")) & (rank < F.col("end"))
         return F.max(F.when(holds, F.col("value")))
 
-    spots = _spots(probs)
+    places = spots(probs)
     ends = {}
-    for name, spot in spots.items():
+    for name, spot in places.items():
         ends[f"{name}_low"] = at(F.floor(spot))
         ends[f"{name}_high"] = at(F.ceil(spot))
     found = ranked.groupBy(*keys, "total").agg(*[e.alias(n) for n, e in ends.items()])
@@ -141,12 +144,13 @@ def exact_quantiles(counts: ValueCounts, probs: Mapping[str, float]) -> DataFram
             F.col(f"{name}_low")
             + (F.col(f"{name}_high") - F.col(f"{name}_low")) * (spot - F.floor(spot))
         ).alias(name)
-        for name, spot in spots.items()
+        for name, spot in places.items()
     ]
     return found.select(*keys, "total", *quantiles)
 
 
-def _spots(probs: Mapping[str, float]) -> dict[str, Column]:
+def spots(probs: Mapping[str, float]) -> dict[str, Column]:
+    """The places of the quantiles among the ``total`` values in order, from 0."""
     return {name: F.lit(p) * (F.col("total") - 1) for name, p in probs.items()}
 
 
@@ -182,7 +186,7 @@ def _cut(counts: ValueCounts, slices: DataFrame, probs: Mapping[str, float]) ->
     )
     placed = pieces.withColumn("upto", F.col("before") + F.sum("held").over(upto))
     first = F.col("upto") - F.col("held")
-    ranks = F.array(*[r for s in _spots(probs).values() for r in (F.floor(s), F.ceil(s))])
+    ranks = F.array(*[r for s in spots(probs).values() for r in (F.floor(s), F.ceil(s))])
     return placed.where(F.exists(ranks, lambda r: (r >= first) & (r < F.col("upto")))).select(
         *keys, "total", F.col("least").alias("low"), F.col("most").alias("high"), "values",
         first.alias("before"),

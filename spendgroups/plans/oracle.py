@@ -479,6 +479,36 @@ ORACLE_SQL = {
         SELECT CustomerID, Gender, 39 AS Age, i AS AnnualIncome, s AS SpendingScore, group_id,
                {_code("i", "s")} AS customer_strategy, 'five' AS model_name
         FROM given JOIN near USING (i, s)""",
+    "flow_train": f"""WITH {BLOBS}, rows AS ({GROUP_ROWS}),
+        poor AS (SELECT COUNT(*) AS n_rejects FROM blobs WHERE CustomerID % 7 = 0)
+        SELECT group_id, n_rows, n_age, ROUND(mean_income, 6) AS mean_income,
+               ROUND(mean_score, 6) AS mean_score,
+               {_code("mean_income", "mean_score")} AS strategy, n_rows AS n_assigned, n_rejects
+        FROM rows, poor""",
+    "flow_explore": _boxes(_long("numbers"), "", DIRTY)
+    + """SELECT 'duplicates' AS name, 'rows' AS "of",
+               (SELECT COUNT(*) FROM dirty) - (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM dirty)) AS n
+        UNION ALL SELECT 'histogram', "column", COUNT(*) FROM marked GROUP BY "column"
+        UNION ALL SELECT 'boxes', "column", COUNT(*) FROM marked GROUP BY "column"
+        UNION ALL SELECT 'outliers', "column", COUNT(*) FROM marked WHERE NOT inside GROUP BY "column"
+        UNION ALL SELECT 'genders', Gender, COUNT(*) FROM dirty GROUP BY Gender
+        UNION ALL SELECT 'points', 'rows', COUNT(*) FROM numbers
+          WHERE AnnualIncome IS NOT NULL AND SpendingScore IS NOT NULL
+        UNION ALL SELECT 'points_by_gender', Gender, COUNT(*) FROM numbers
+          WHERE AnnualIncome IS NOT NULL AND SpendingScore IS NOT NULL GROUP BY Gender""",
+    "form_limits": f"""WITH {DIRTY},
+        forms(form, a0, a1, i0, i1, s0, s1) AS (VALUES
+          ('entry', 0, 120, 0, 500, 0, 200), ('strict', 18, 100, 10, 200, 1, 100)),
+        found AS (
+          SELECT CustomerID, form,
+            CASE WHEN Age < a0 OR Age > a1 THEN 'Age ' || CAST(CAST(Age AS INT) AS VARCHAR)
+                 || ' is outside ' || a0 || '-' || a1 END AS a,
+            CASE WHEN AnnualIncome < i0 OR AnnualIncome > i1 THEN 'AnnualIncome '
+                 || CAST(AnnualIncome AS VARCHAR) || ' is outside ' || i0 || '-' || i1 END AS i,
+            CASE WHEN SpendingScore < s0 OR SpendingScore > s1 THEN 'SpendingScore '
+                 || CAST(SpendingScore AS VARCHAR) || ' is outside ' || s0 || '-' || s1 END AS s
+          FROM numbers, forms)
+        SELECT CustomerID, form, concat_ws('; ', a, i, s) AS warnings FROM found""",
     "score_listed_position": f"""WITH {PROFILE}, {BLOBS}, given AS (
           SELECT ROW_NUMBER() OVER (ORDER BY CustomerID) - 1 AS position, Gender, Age,
                  CAST(AnnualIncome AS DOUBLE) AS i, CAST(SpendingScore AS DOUBLE) AS s

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendgroups.functions.numbers import number, two_decimals
@@ -21,11 +22,13 @@ from spendgroups.operators.cluster import (
     scaling_stages,
     squared_distance,
 )
+from spendgroups.operators.selection import value_rows
 from spendgroups.plans import fixtures, flows
 from spendgroups.schema import (
     AGE,
     CUSTOMER_ID,
     DISPLAY_DEFAULTS,
+    ENTRY_LIMITS,
     FEATURES,
     GENDER,
     HEADER_MAP,
@@ -34,6 +37,7 @@ from spendgroups.schema import (
     K_MAX,
     K_MIN,
     SCORE,
+    STRICT_LIMITS,
 )
 from spendgroups.session import new_folder
 from spendgroups.sources import customers, listed, models
@@ -347,7 +351,8 @@ def density_prices(spark, folder):
 @query
 def box_prices(spark, folder):
     lines = fixtures.table(spark, folder, "lineitem")
-    table = distributions.box_stats(lines, ["l_extendedprice"], by="l_returnflag")
+    cols, by = ["l_extendedprice"], "l_returnflag"
+    table = distributions.box_stats(lines, cols, by, counts=value_rows(lines, cols, by))
     return rounded(table, ["q1", "median", "q3", "lo", "hi"])
 
 
@@ -460,10 +465,12 @@ def elbow_sweep_all(spark, folder):
     training = Training(fixtures.blobs(spark, folder))
     try:
         fits = training.sweep(range(K_MIN, K_MAX + 1))
-        z = vector_to_array("features")
-        again = training.rows.agg(
+        # The two numbers are taken out of the vector once, not for every distance.
+        z = training.rows.select(vector_to_array("features").alias("z"))
+        z = z.select(F.col("z")[0].alias("x"), F.col("z")[1].alias("y"))
+        again = z.agg(
             *[
-                F.sum(nearest_centre([z[0], z[1]], fit.clusterCenters())["distance"]).alias(str(k))
+                F.sum(nearest_centre(["x", "y"], fit.clusterCenters())["distance"]).alias(str(k))
                 for k, fit in fits.items()
             ]
         ).first()
@@ -493,7 +500,7 @@ def group_report_text(spark, folder):
 @query
 def group_report_from_fit(spark, folder):
     """The group facts kept with a model, measured during the fit."""
-    model = Training(fixtures.blobs(spark, folder)).fit(5)
+    model = fit_groups(fixtures.blobs(spark, folder), 5)
     kept = spark.createDataFrame(
         [(g["group_id"], g["n_rows"], g["mean_income"], g["mean_score"]) for g in model.groups],
         "group_id int, n_rows bigint, mean_income double, mean_score double",
@@ -552,6 +559,56 @@ def profile_report(spark, folder):
     )
 
 
+# Whole flows and forms
+
+
+@query
+def flow_train(spark, folder):
+    """Train as a user does, on customers of whom some lack an income, and read the report."""
+    blobs = fixtures.blobs(spark, folder)
+    poor = blobs.where(F.col(CUSTOMER_ID) % 7 == 0).withColumn(INCOME, F.lit(None).cast("double"))
+    result = flows.train(blobs.unionByName(poor), "five", new_folder(spark, "models"))
+    sizes = result.sizes().select(F.col("value").alias("group_id"), F.col("n").alias("n_assigned"))
+    report = rounded(result.report, ["mean_income", "mean_score"]).join(F.broadcast(sizes), "group_id")
+    rejects = result.rejects.agg(F.count(F.lit(1)).alias("n_rejects")).first()["n_rejects"]
+    return report.drop("description", "action").withColumn("n_rejects", F.lit(rejects))
+
+
+@query
+def flow_explore(spark, folder):
+    """What the tables of an exploration add up to, by table and column."""
+    found = flows.explore(fixtures.profile_dirty(spark, folder))
+
+    def totals(table: DataFrame, name: str, column: Column, n: Column) -> DataFrame:
+        rows = table.select(column.cast("string").alias("of"), n.cast("bigint").alias("n"))
+        return rows.groupBy("of").agg(F.sum("n").alias("n")).withColumn("name", F.lit(name))
+
+    parts = [
+        totals(found["duplicates"], "duplicates", F.lit("rows"), F.col("n_duplicates")),
+        totals(found["histogram"], "histogram", F.col("column"), F.col("n")),
+        totals(found["boxes"], "boxes", F.col("column"), F.col("n")),
+        totals(found["outliers"], "outliers", F.col("column"), F.lit(1)),
+        totals(found["genders"], "genders", F.col("value"), F.col("n")),
+        totals(found["points"], "points", F.lit("rows"), F.col("n")),
+        totals(found["points_by_gender"], "points_by_gender", F.col(GENDER), F.col("n")),
+    ]
+    return reduce(DataFrame.unionByName, parts).select("name", "of", "n")
+
+
+@query
+def form_limits(spark, folder):
+    """Warnings by the limits of either form."""
+    dirty = fixtures.profile_dirty(spark, folder)
+    limits = {"entry": ENTRY_LIMITS, "strict": STRICT_LIMITS}
+    forms = [
+        columns.with_range_warnings(dirty, domain).select(
+            CUSTOMER_ID, F.lit(form).alias("form"), F.array_join("warnings", "; ").alias("warnings")
+        )
+        for form, domain in limits.items()
+    ]
+    return reduce(DataFrame.unionByName, forms)
+
+
 # Scoring
 
 

@@ -1,9 +1,14 @@
+import random
+import struct
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from spendgroups.operators import distributions as d
 from spendgroups.operators import quantiles as q
+from spendgroups.operators import selection
+from spendgroups.plans import fixtures
 
 NAN = float("nan")
 
@@ -155,3 +160,49 @@ def test_histogram_shuffles_bins_not_values(table):
     assert plan.count("Exchange hashpartitioning") == 1 and "value" not in [
         part for line in plan.split("\n") if "hashpartitioning" in line for part in line.split("#")
     ]
+
+
+def _bits(x):
+    bits = struct.unpack("q", struct.pack("d", abs(x)))[0]
+    return -bits if x < 0 else bits
+
+
+def test_ordered_bits(spark):
+    rng = random.Random(4)
+    values = [0.0, -0.0, 5e-324, -5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1e-310]
+    values += [1.7976931348623157e308, float("inf"), -float("inf"), 0.1, 3.0]
+    values += [2.0**e * m for e in range(-1022, 1024, 7) for m in (1.0, 1 + 2**-52, 1 - 2**-53)]
+    values += [struct.unpack("d", struct.pack("Q", rng.getrandbits(64)))[0] for _ in range(3000)]
+    values = [x for x in values if x == x]
+    table = spark.createDataFrame([(x,) for x in values], "value double")
+    rows = selection.with_ordered_bits(table, "value", "bits").collect()
+    assert [r for r in rows if r.bits != _bits(r.value)] == []
+
+
+@pytest.mark.parametrize("kind", ["whole", "wide", "equal", "signs"])
+def test_quantiles_by_digits_equal_exact_ones(spark, kind):
+    rng = random.Random(6)
+    draw = {
+        "whole": lambda: float(rng.randint(-5, 60)),
+        "wide": lambda: rng.choice([-1, 1]) * 10.0 ** rng.uniform(-300, 300),
+        "equal": lambda: 7.25,
+        "signs": lambda: rng.choice([0.0, -0.0, 1e-320, -1e-320, 1e9 + rng.random()]),
+    }[kind]
+    rows = [(draw(), draw() if i % 5 else None, rng.choice("aab")) for i in range(900)]
+    rows += [(1.0, 2.0, None), (None, None, "c"), (3.5, float("nan"), "d")]
+    table = spark.createDataFrame(rows, "x double, y double, g string")
+    probs = {"low": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "p99": 0.99, "high": 1.0}
+    for by in (None, "g"):
+        one = q.count_values(table, ["x", "y"], by).quantiles(probs)
+        two = selection.value_rows(table, ["x", "y"], by).quantiles(probs)
+        assert one.columns == two.columns
+        assert sorted(map(tuple, one.collect())) == sorted(map(tuple, two.collect()))
+    empty = selection.value_rows(table.limit(0), ["x"]).quantiles(probs)
+    assert empty.count() == 0
+
+
+def test_boxes_from_rows_equal_boxes_from_counts(spark, folder):
+    dirty = fixtures.profile_dirty(spark, folder)
+    one = d.box_stats(dirty).collect()
+    two = d.box_stats(dirty, counts=selection.value_rows(dirty)).collect()
+    assert sorted(map(tuple, one)) == sorted(map(tuple, two))
