@@ -19,20 +19,23 @@ from functools import partial, reduce
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spendgroups.llm.hashing import mixed
+from spendgroups.llm.hashing import mixed, word_hashes
 from spendgroups.llm.tables import stored
 from spendgroups.session import broadcast_if_few
 
 LONGEST, LEAST, BEST = 5, 100, 2000
 # Bits of the table that says which phrases are frequent.
 BITS = 1 << 25
-# A stripe is cut by its words into so many cells, so that no task holds all words that
-# follow a frequent prefix.
-CELLS = 64
+# The stripe of the empty prefix, and of a prefix that makes up this share of all words, is
+# cut by its words into so many cells, so that no task holds all that follows it. There
+# are at most 1 / HOT such prefixes of a length.
+CELLS, HOT = 64, 1 / 4096
+# Stripes are dealt into so many packs for a language. A window has one row for a pack, and
+# a task that merges holds one pack at a time.
+PACKS = 2048
 # Bytes of texts that a task counts together.
 WINDOW = 12 << 20
 SALTS = 16
@@ -42,25 +45,56 @@ _BREAK = b"."
 _PLAIN = bytes.maketrans(
     b",;:!?\n\x0b\x0c\rABCDEFGHIJKLMNOPQRSTUVWXYZ", b".........abcdefghijklmnopqrstuvwxyz"
 )
-STRIPE = pa.schema(
+# Stripes of a pack: prefixes and stripes are joined by line ends, the words of a stripe by
+# spaces, which no word has. ``n`` has the counts of all words, ``total`` one for each stripe.
+_PACK = "lang string, pack int, prefix string, next string, n array<bigint>, total array<bigint>"
+PACK = pa.schema(
     [
         ("lang", pa.string()),
+        ("pack", pa.int32()),
         ("prefix", pa.string()),
-        ("cell", pa.int32()),
-        ("total", pa.int64()),
-        ("next", pa.list_(pa.string())),
+        ("next", pa.string()),
         ("n", pa.list_(pa.int64())),
+        ("total", pa.list_(pa.int64())),
     ]
 )
-_STRIPE = "lang string, prefix string, cell int, total bigint, next array<string>, n array<bigint>"
+_STRIPE = "lang string, prefix string, total bigint, next string, n array<bigint>"
+_ANY_BYTE = np.ones(256, bool)
 
 
 def _slot(hashes: np.ndarray) -> np.ndarray:
     return hashes >> np.uint64(64 - (BITS.bit_length() - 1))
 
 
-def _hash(data: bytes) -> int:
-    return xxhash.xxh64_intdigest(data)
+def _hashes(words: pa.Array) -> np.ndarray:
+    """A hash for every word; none is empty."""
+    return word_hashes(words.cast(pa.large_string()), _ANY_BYTE)[0]
+
+
+def _seed(lang: str) -> np.uint64:
+    return _hashes(pa.array([f"lang {lang}"]))[0]
+
+
+def _lists(values: pa.Array | np.ndarray, ends: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values))
+
+
+def _joined(words: pa.Array, ends: np.ndarray, by: str) -> pa.Array:
+    """One string for each stretch of words."""
+    return pc.binary_join(_lists(words, ends), by)
+
+
+def _split(joined: pa.Array, by: str) -> tuple[np.ndarray, pa.Array]:
+    """The parts of all strings, and for each the place of its string."""
+    lists = pc.split_pattern(joined, by)
+    return pc.list_parent_indices(lists).to_numpy(), lists.flatten()
+
+
+def _words(joined: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """As ``_split``, by spaces; an empty string has no word."""
+    parent, words = _split(joined, " ")
+    there = pc.not_equal(words, "")
+    return parent[there.to_numpy(zero_copy_only=False)], words.filter(there)
 
 
 def _parts(text: bytes) -> Iterator[bytes]:
@@ -99,14 +133,14 @@ class _Text:
         marked = b" . "
         words = marked.join(parts).replace(_BREAK, marked).split()
         # Breaks at the end let a phrase be looked up from any place.
-        coded = pa.array([*words, *[_BREAK] * (LONGEST + 1)], pa.binary()).dictionary_encode()
+        words += [_BREAK] * 2
+        coded = pa.array(words, pa.binary()).dictionary_encode()
         self.ids = coded.indices.to_numpy().astype(np.int64)
-        self.words = coded.dictionary
-        listed = self.words.to_pylist()
-        self.hashes = np.array([_hash(w) for w in listed], np.uint64)
-        self.seed = np.uint64(_hash(lang.encode()))
+        self.words = coded.dictionary.cast(pa.string())
+        self.hashes = _hashes(self.words)
+        self.seed = _seed(lang)
         places = np.arange(len(self.ids))
-        ends = np.where(self.ids == listed.index(_BREAK), places, len(places))
+        ends = np.where(self.ids == self.ids[-1], places, len(places))
         # Words from each place to the end of its piece.
         self.left = np.minimum.accumulate(ends[::-1])[::-1] - places
 
@@ -114,12 +148,16 @@ class _Text:
         """Whether the phrase of that length at each place may be frequent."""
         out = np.zeros(len(self.ids), bool)
         at = np.flatnonzero(self.left >= length)
+        slot = _slot(self.phrase_hashes(at, length))
+        out[at] = (bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
+        return out
+
+    def phrase_hashes(self, at: np.ndarray, length: int) -> np.ndarray:
+        """Hashes of the phrases of that length at some places."""
         h = np.full(len(at), self.seed)
         for j in range(length):
             h = mixed(h * _FOLD + self.hashes[self.ids[at + j]])
-        slot = _slot(h)
-        out[at] = (bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
-        return out
+        return h
 
 
 def _numbered(columns: list[np.ndarray], size: int) -> np.ndarray:
@@ -135,13 +173,18 @@ def _numbered(columns: list[np.ndarray], size: int) -> np.ndarray:
     return key
 
 
-def _counted(batches: Iterator[pa.RecordBatch], length: int, bits) -> Iterator[pa.RecordBatch]:
-    """Stripes of the prefixes of ``length`` words, one set for each window."""
+def _counted(batches: Iterator[pa.RecordBatch], length: int, known) -> Iterator[pa.RecordBatch]:
+    """Stripes of the prefixes of ``length`` words, one set for each window.
+
+    ``known`` has the bits of the frequent phrases of that length and the hashes of the
+    prefixes whose stripes have cells.
+    """
+    bits, hot = known.value
     for lang, parts in _windows(batches):
         text = _Text(lang, parts)
         ids, size = text.ids, len(text.words) + 1
         if length:
-            may = text.frequent(length, bits.value)
+            may = text.frequent(length, bits)
             at = np.flatnonzero(may)
             goes_on = (text.left[at] > length) & may[at + 1]
             first = _numbered([ids[at + j] for j in range(length)], size)
@@ -155,102 +198,138 @@ def _counted(batches: Iterator[pa.RecordBatch], length: int, bits) -> Iterator[p
         following = np.where(goes_on, ids[at + length] + 1, 0)
         pairs, n = np.unique(prefix * size + following, return_counts=True)
         prefix, following = pairs // size, pairs % size
-        cell = (text.hashes[following - 1] % np.uint64(CELLS)).astype(np.int64)
-        cell[following == 0] = 0
-        order = np.lexsort((following, cell, prefix))
-        prefix, following, cell, n = prefix[order], following[order], cell[order], n[order]
-        new = np.r_[True, (prefix[1:] != prefix[:-1]) | (cell[1:] != cell[:-1])]
-        begins = np.flatnonzero(new)
+        hashes = text.phrase_hashes(at[example], length)
+        cut = np.isin(hashes, hot) if length else np.ones(1, bool)
+        cell = text.hashes[following - 1] % np.uint64(CELLS)
+        cell[(following == 0) | ~cut[prefix]] = 0
+        pack = ((hashes[prefix] + cell) % np.uint64(PACKS)).astype(np.int64)
+        order = np.lexsort((following, cell, prefix, pack))
+        prefix, following, cell, n, pack = (c[order] for c in (prefix, following, cell, n, pack))
+        # Where stripes begin among the words, and packs among the stripes.
+        begins = np.flatnonzero(_changes(prefix, cell, pack))
+        packs = np.flatnonzero(_changes(pack[begins]))
         entry = following > 0
-        ends = np.r_[0, np.cumsum(entry)][np.r_[begins, len(entry)]].astype(np.int32)
+        ends = np.r_[0, np.cumsum(entry)][np.r_[begins, len(entry)]]
+        pack_ends = np.r_[packs, len(begins)]
         if length:
             names = [text.words.take(pa.array(ids[at[example] + j])) for j in range(length)]
-            names = pc.binary_join_element_wise(*names, b" ").cast(pa.string())
+            names = pc.binary_join_element_wise(*names, " ")
         else:
             names = pa.array([""])
-        words = text.words.take(pa.array(following[entry] - 1)).cast(pa.string())
+        stripes = _joined(text.words.take(pa.array(following[entry] - 1)), ends, " ")
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array([lang] * len(begins), pa.string()),
-                names.take(pa.array(prefix[begins])),
-                pa.array(cell[begins].astype(np.int32)),
-                pa.array(np.add.reduceat(n, begins)),
-                pa.ListArray.from_arrays(pa.array(ends), words),
-                pa.ListArray.from_arrays(pa.array(ends), pa.array(n[entry])),
+                pa.array([lang] * len(packs), pa.string()),
+                pa.array(pack[begins][packs].astype(np.int32)),
+                _joined(names.take(pa.array(prefix[begins])), pack_ends, "\n"),
+                _joined(stripes, pack_ends, "\n"),
+                _lists(n[entry], ends[pack_ends]),
+                _lists(np.add.reduceat(n, begins), pack_ends),
             ],
-            schema=STRIPE,
+            schema=PACK,
         )
 
 
-def _merged(rows: pa.Table) -> pa.Table:
-    """Rows sorted by lang, prefix and cell, with one stripe for each: words added up."""
-    rows = rows.combine_chunks()
-    new = np.zeros(len(rows), bool)
-    new[0] = True
-    for name in ("lang", "prefix", "cell"):
-        column = rows[name].combine_chunks()
-        new[1:] |= pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
-    begins, group = np.flatnonzero(new), np.cumsum(new) - 1
-    following, n = rows["next"].combine_chunks(), rows["n"].combine_chunks()
-    entries = pa.table(
-        {
-            "group": group[pc.list_parent_indices(following).to_numpy()],
-            "next": following.flatten(),
-            "n": n.flatten(),
-        }
-    )
-    entries = entries.group_by(["group", "next"], use_threads=False).aggregate([("n", "sum")])
-    entries = entries.sort_by([("group", "ascending"), ("next", "ascending")])
-    ends = np.searchsorted(entries["group"].to_numpy(), np.arange(len(begins) + 1))
-    ends = pa.array(ends.astype(np.int32))
-    total = np.add.reduceat(rows["total"].to_numpy(), begins)
-    lists = (entries[name].combine_chunks() for name in ("next", "n_sum"))
-    one = rows.take(pa.array(begins))
-    return pa.Table.from_arrays(
-        [one["lang"], one["prefix"], one["cell"], pa.array(total)]
-        + [pa.ListArray.from_arrays(ends, values) for values in lists],
-        schema=STRIPE,
-    )
+def _changes(*columns: np.ndarray) -> np.ndarray:
+    """Whether a row differs from the one before it."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = False
+    for column in columns:
+        new[1:] |= column[1:] != column[:-1]
+    return new
+
+
+class _Merged:
+    """Stripes merged word by word."""
+
+    def __init__(self) -> None:
+        self.totals = pa.table({"stripe": pa.array([], pa.string()), "total": pa.array([], pa.int64())})
+        self.entries = pa.table(
+            {"stripe": pa.array([], pa.string()), "next": pa.array([], pa.string()), "n": pa.array([], pa.int64())}
+        )
+
+    def add(self, rows: pa.Table) -> None:
+        rows = rows.combine_chunks()
+        if not len(rows):
+            return
+        row, prefixes = _split(rows["prefix"].combine_chunks(), "\n")
+        langs = rows["lang"].combine_chunks().take(pa.array(row))
+        stripe = pc.binary_join_element_wise(langs, prefixes, "\n")
+        parent, words = _words(_split(rows["next"].combine_chunks(), "\n")[1])
+        totals = pa.table({"stripe": stripe, "total": rows["total"].combine_chunks().flatten()})
+        entries = pa.table(
+            {
+                "stripe": stripe.take(pa.array(parent)),
+                "next": words,
+                "n": rows["n"].combine_chunks().flatten(),
+            }
+        )
+        self.totals = _summed(pa.concat_tables([self.totals, totals]), "total")
+        self.entries = _summed(pa.concat_tables([self.entries, entries]), "n")
+
+    def stripes(self, least: int) -> Iterator[pa.RecordBatch]:
+        """The stripes, with the words that follow at least that often."""
+        often = self.entries.filter(pc.greater_equal(self.entries["n"], least))
+        stripe = self.totals["stripe"].combine_chunks()
+        place = pc.index_in(often["stripe"], value_set=stripe).to_numpy()
+        order = np.argsort(place, kind="stable")
+        ends = np.searchsorted(place[order], np.arange(len(stripe) + 1))
+        words = often["next"].combine_chunks().take(pa.array(order))
+        parts = pc.split_pattern(stripe, "\n", max_splits=1, reverse=True)
+        yield from pa.table(
+            {
+                "lang": pc.list_element(parts, 0),
+                "prefix": pc.list_element(parts, 1),
+                "total": self.totals["total"],
+                "next": _joined(words, ends, " "),
+                "n": _lists(often["n"].to_numpy()[order], ends),
+            }
+        ).to_batches()
+
+
+def _summed(rows: pa.Table, value: str) -> pa.Table:
+    keys = [name for name in rows.column_names if name != value]
+    summed = rows.group_by(keys, use_threads=False).aggregate([(value, "sum")])
+    return summed.rename_columns([*keys, value])
 
 
 def _merge(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
-    """Stripes of a sorted partition, merged; of the entries the frequent ones stay."""
-
-    def kept(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        following, n = rows["next"].combine_chunks(), rows["n"].combine_chunks()
-        enough = pc.greater_equal(n.flatten(), least)
-        parent = pc.list_parent_indices(n).filter(enough).to_numpy()
-        ends = pa.array(np.searchsorted(parent, np.arange(len(rows) + 1)).astype(np.int32))
-        columns = [rows[name] for name in ("lang", "prefix", "cell", "total")]
-        for values in (following, n):
-            columns.append(pa.ListArray.from_arrays(ends, values.flatten().filter(enough)))
-        yield from pa.Table.from_arrays(columns, schema=STRIPE).to_batches()
-
-    held = STRIPE.empty_table()
+    """Stripes of a sorted partition, merged; of the words the frequent ones stay."""
+    held, last = _Merged(), None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = pa.Table.from_batches([batch])
+        lang, pack = rows["lang"].combine_chunks(), rows["pack"].to_numpy()
+        same = pc.equal(lang, lang[len(lang) - 1]).to_numpy(zero_copy_only=False) & (pack == pack[-1])
+        # The last pack may go on in the next batch.
+        cut = len(rows) - int(same.sum())
+        if cut:
+            held.add(rows.slice(0, cut))
+        key = (lang[len(lang) - 1].as_py(), pack[-1])
+        if cut or key != last:
+            yield from held.stripes(least)
+            held, last = _Merged(), key
+        held.add(rows.slice(cut))
+    yield from held.stripes(least)
+
+
+def _phrase_hashes(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = pa.concat_tables([held, pa.Table.from_batches([batch]).cast(STRIPE)])
-        if len(rows):
-            merged = _merged(rows)
-            # The last stripe may go on in the next batch.
-            held = merged.slice(len(merged) - 1)
-            yield from kept(merged.slice(0, len(merged) - 1))
-    yield from kept(held)
+        langs = batch["lang"].dictionary_encode()
+        seeds = np.array([_seed(lang) for lang in langs.dictionary.to_pylist()], np.uint64)
+        h = seeds[langs.indices.to_numpy()]
+        words = _hashes(_words(batch["phrase"])[1]).reshape(-1, length)
+        for j in range(length):
+            h = mixed(h * _FOLD + words[:, j])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(h.astype(np.int64)), pa.array(_slot(h).astype(np.int64)), batch["f"]],
+            ["hash", "slot", "f"],
+        )
 
 
-def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        slots = np.zeros(batch.num_rows, np.uint64)
-        for i, (lang, phrase) in enumerate(zip(batch["lang"], batch["phrase"])):
-            h = np.array([_hash(lang.as_py().encode())], np.uint64)
-            for word in phrase.as_py().split(" "):
-                h = mixed(h * _FOLD + np.uint64(_hash(word.encode())))
-            slots[i] = _slot(h)[0]
-        yield pa.RecordBatch.from_arrays([pa.array(slots.astype(np.int64))], ["slot"])
-
-
-def _table_of_bits(phrases: DataFrame) -> np.ndarray:
-    """Bits of the phrases (``lang, phrase``); at most ``BITS / 64`` rows are fetched."""
-    slots = phrases.mapInArrow(_slots, "slot bigint")
+def _table_of_bits(slots: DataFrame) -> np.ndarray:
+    """A bit for every ``slot``; at most ``BITS / 64`` rows are fetched."""
     words = slots.groupBy(F.shiftrightunsigned("slot", 6).alias("word")).agg(
         F.expr("bit_or(shiftleft(1L, cast(slot & 63 as int)))").alias("bits")
     )
@@ -262,33 +341,43 @@ def _table_of_bits(phrases: DataFrame) -> np.ndarray:
 
 def _entries(stripes: DataFrame) -> DataFrame:
     """``lang, words, prefix, phrase, f`` of every frequent phrase."""
-    cells = stripes.select("lang", "words", "prefix", F.explode(F.arrays_zip("next", "n")).alias("e"))
+    pairs = F.arrays_zip(F.split("next", " ").alias("next"), "n")
+    cells = stripes.where("next <> ''").select("lang", "words", "prefix", F.explode(pairs).alias("e"))
     phrase = F.concat_ws(" ", F.nullif("prefix", F.lit("")), F.col("e")["next"])
     return cells.select(
-        "lang", (F.col("words") + 1).alias("words"), "prefix", phrase.alias("phrase"),
+        "lang",
+        (F.col("words") + 1).alias("words"),
+        "prefix",
+        phrase.alias("phrase"),
         F.col("e")["n"].alias("f"),
     )
 
 
 def phrase_stripes(texts: DataFrame, longest: int = LONGEST, least: int = LEAST) -> DataFrame:
-    """``lang, words, prefix, cell, total, next, n``: the merged stripes of all prefixes of
+    """``lang, words, prefix, total, next, n``: the merged stripes of all prefixes of
     up to ``longest - 1`` words that may occur ``least`` times.
 
-    ``words`` is the length of the prefix; ``total`` counts its occurrences, whatever follows, and
-    is split over the cells; ``next`` and ``n`` hold the words that make a frequent phrase.
+    ``words`` is the length of the prefix; ``total`` counts its occurrences, whatever follows; a
+    stripe that has cells is several rows, whose totals add up. ``next`` (joined by spaces) and ``n`` hold the words that make a
+    frequent phrase.
     """
-    spark = texts.sparkSession
+    context = texts.sparkSession.sparkContext
     levels: list[DataFrame] = []
-    bits = None
+    known = context.broadcast((None, None))
     for length in range(longest):
         if levels:
-            phrases = _entries(levels[-1]).select("lang", "phrase")
-            if phrases.isEmpty():
+            hashed = _entries(levels[-1]).select("lang", "phrase", "f").mapInArrow(
+                partial(_phrase_hashes, length=length), "hash bigint, slot bigint, f bigint"
+            )
+            hashed = stored(hashed, f"hashes-{length}")
+            if hashed.isEmpty():
                 break
-            bits = spark.sparkContext.broadcast(_table_of_bits(phrases))
-        keys = ["lang", "prefix", "cell"]
+            size = levels[0].agg(F.sum("total")).first()[0]
+            hot = hashed.where(F.col("f") >= size * HOT).select("hash").toArrow()["hash"]
+            known = context.broadcast((_table_of_bits(hashed), hot.to_numpy().astype(np.uint64)))
+        keys = ["lang", "pack"]
         merged = (
-            texts.mapInArrow(partial(_counted, length=length, bits=bits), _STRIPE)
+            texts.mapInArrow(partial(_counted, length=length, known=known), _PACK)
             .repartition(*keys)
             .sortWithinPartitions(*keys)
             .mapInArrow(partial(_merge, least=least), _STRIPE)
@@ -365,10 +454,14 @@ def phrase_collocations(
     lowest = scored.groupBy("lang", "phrase").agg(
         F.min(F.struct("score", "k", "a", "l", "r", "n")).alias("cut")
     )
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = lowest.select("lang", "phrase", "cut.*").withColumn(
-        "rank", F.row_number().over(order).cast("bigint")
-    )
+    order = [F.desc("score"), F.desc("a"), "phrase"]
+    # The best of each salt first, so that the task of a language gets few rows.
+    salt = F.pmod(F.xxhash64("phrase"), F.lit(SALTS))
+    salted = lowest.select("lang", "phrase", "cut.*").withColumn("salt", salt)
+    among = F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order))
+    salted = salted.withColumn("rank", among).where(F.col("rank") <= best)
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
+    ranked = salted.withColumn("rank", rank.cast("bigint"))
     return ranked.where(F.col("rank") <= best).select(
         "lang", "rank", "phrase", "a", "l", "r", "n", "score"
     )

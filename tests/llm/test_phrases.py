@@ -47,7 +47,7 @@ def brute(rows, longest, least, best):
 
 @pytest.mark.parametrize("longest, least, best", [(5, 6, 2000), (3, 3, 10), (2, 4, 5), (5, 1, 40)])
 def test_equals_brute_force(spark, documents, monkeypatch, longest, least, best):
-    monkeypatch.setattr(phrases, "WINDOW", 300)
+    monkeypatch.setattr(phrases, "HOT", 0.1)
     rng = random.Random(longest)
     stock = ["of the", "Of  The, red.", "new york city", "é É a", "x x x x x x x", "", "a\tb c d e f", "End!"]
     texts = [None, "", " . ", "!"] + [" ".join(rng.choices(stock, k=rng.randint(1, 12))) for _ in range(60)]
@@ -78,3 +78,13 @@ def test_table_of_bits_full(spark, documents, monkeypatch):
     texts = ["a b c d e f", "a b c. d e f", "b c d"] * 4
     found = phrase_collocations(documents(texts, ["en"] * 12), 5, 4, 50)
     assert sorted(tuple(r) for r in found.collect()) == brute([("en", t) for t in texts], 5, 4, 50)
+
+
+def test_long_texts_are_cut_between_pieces(monkeypatch):
+    monkeypatch.setattr(phrases, "WINDOW", 20)
+    text = "One two. three four five six seven eight; nine! ten"
+    batch = phrases.pa.RecordBatch.from_pydict({"lang": ["en", "de", "en"], "text": [text, "", None]})
+    parts = [part for _, held in phrases._windows(iter([batch])) for part in held]
+    pieces = [p.split() for part in parts for p in part.split(b".") if p.split()]
+    assert pieces == [p.split() for p in text.lower().encode().translate(bytes.maketrans(b";!", b"..")).split(b".")]
+    assert len(parts) > 2
