@@ -14,6 +14,8 @@ SHARE = 1.5
 MOST = 2.0
 # Documents that one array of a rounding step holds on average.
 GROUP = 128
+# Equal rows that one task numbers at a time.
+CHUNK = 65_536
 BLANKS = "\x20\t\n\x0b\x0c\r"
 
 
@@ -79,6 +81,27 @@ def source_targets(
     )
 
 
+def numbered(rows: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """``rows`` with ``nth``: equal rows are numbered from 1.
+
+    Equal rows are counted, which combines them before the shuffle, and made again from
+    their number. A number above ``chunk`` is dealt out in chunks first, so that no task
+    makes a large group on its own.
+    """
+    (n,) = free_names(rows, "_n")
+    counted = stored(rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias(n)), "equal-rows")
+
+    def several(table: DataFrame, first: Column, last: Column) -> DataFrame:
+        return table.select(*rows.columns, F.explode(F.sequence(first, last)).alias("nth"))
+
+    few = several(counted.where(F.col(n) <= chunk), F.lit(1).cast("bigint"), F.col(n))
+    many = counted.where(F.col(n) > chunk)
+    begins = F.sequence(F.lit(1).cast("bigint"), F.col(n), F.lit(chunk).cast("bigint"))
+    many = many.withColumn("nth", F.explode(begins)).repartition(*rows.columns, "nth")
+    last = F.least(F.col(n), F.col("nth") + F.lit(chunk - 1))
+    return few.unionByName(several(many, F.col("nth"), last))
+
+
 def _uniform(*parts: Column) -> Column:
     """A number from 0 to 1 that is the same in every run."""
     return F.pmod(F.xxhash64(*parts), F.lit(1 << 53)) / float(1 << 53)
@@ -209,9 +232,8 @@ def mix_sources(
     def with_targets(rows: DataFrame) -> DataFrame:
         return rows.join(known, F.col("source").eqNullSafe(F.col("_of"))).drop("_of")
 
-    nth = F.row_number().over(Window.partitionBy("doc_id", "source", "size").orderBy(F.lit(0)))
     mass = (F.col("rate") - F.floor("rate")) * F.col("size")
-    rows = stored(with_targets(sizes).withColumns({"nth": nth, "mass": mass}), "masses")
+    rows = stored(with_targets(numbered(sizes)).withColumn("mass", mass), "masses")
     plain = rows.where("mass = 0").select("source", "doc_id", "size", F.lit(0).alias("more"))
     rounded = pivotal_copies(rows.where("mass > 0"), group)
     copies = F.when(F.col("size") > 0, F.floor("rate") + F.col("more")).otherwise(0).cast("int")

@@ -3,7 +3,7 @@
 import random
 import re
 
-from spendgroups.llm.mixing import WEIGHTS, mix_sources
+from spendgroups.llm.mixing import WEIGHTS, mix_sources, numbered
 
 
 def plain_targets(sizes):
@@ -58,3 +58,20 @@ def test_repeated_rows_no_ids_and_empty_tables(documents):
     assert len(rows) == 40 and sum(r.taken for r in rows) in range(178, 183)
     assert mix_sources(docs.limit(0)).count() == 0
     assert [r.taken for r in mix_sources(documents([None, ""])).collect()] == [0, 0]
+
+
+def test_equal_rows_are_numbered_in_chunks(spark):
+    rows = spark.createDataFrame(
+        [(1, "s", 3)] * 25 + [(1, None, 3)] * 4 + [(None, None, 3)] * 11 + [(2, "s", 0)],
+        "doc_id long, source string, size long",
+    )
+    found = numbered(rows, chunk=5).collect()
+    expected = [(1, "s", 3, i) for i in range(1, 26)] + [(1, None, 3, i) for i in range(1, 5)]
+    expected += [(None, None, 3, i) for i in range(1, 12)] + [(2, "s", 0, 1)]
+    assert sorted(map(repr, map(tuple, found))) == sorted(map(repr, expected))
+    assert numbered(rows.limit(0)).count() == 0
+
+
+def test_one_repeated_row_makes_up_the_table(documents):
+    rows = mix_sources(documents(["a b c"] * 3000, ids=[5] * 3000, sources=["s"] * 3000)).collect()
+    assert len(rows) == 3000 and abs(sum(r.taken for r in rows) - 13_500) <= 2

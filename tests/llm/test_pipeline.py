@@ -79,3 +79,17 @@ def test_names_that_clash_or_need_quotes(spark, documents, tmp_path):
         rows = found.collect()
         assert all((r["_row"], r["_copies"], r["_time"], r["a.b"]) == (0, 1, 4, 6) for r in rows) and rows
     assert corpus_pipeline.STAGES[-1][1](spark, docs, "").count() == 2
+
+
+def test_equal_rows_are_taken_as_often_as_the_mixture_says(spark, documents, monkeypatch):
+    monkeypatch.setattr(corpus_pipeline, "CHUNK", 4)
+    docs = documents(
+        [f"a b {i}" for i in range(40)] + ["a b c"] * 20 + ["x y z"],
+        ids=[1] * 30 + [None] * 30 + [2],
+        sources=["s"] * 20 + [None] * 41,
+    )
+    wanted = sorted((repr(r.doc_id), repr(r.source)) for r in mix_sources(docs).collect() for _ in range(r.copies))
+    found = corpus_pipeline.mix(spark, docs, "").collect()
+    assert sorted((repr(r.doc_id), repr(r.source)) for r in found) == wanted
+    # One row is taken once or twice more than not at all; none of them three times.
+    assert max(sum(r.text == f"a b {i}" for r in found) for i in range(40)) <= 2
