@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from spendgroups.llm.pii import CONTEXT_WORDS, IBAN_BY_LENGTH, context_pattern
+from spendgroups.llm.pii import RULES as PII_RULES
+
 
 def _spans(kind: str, rank: int, pattern: str, test: str) -> str:
     """A list of (kind, rank, start, end) from text ``t`` for matches that pass ``test``."""
@@ -29,11 +32,19 @@ _EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
 _IP = r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)"
 _CARD = r"[0-9](?:[ -]?[0-9])+"
 _PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
-_IBAN = r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}\b"
+_IBAN = rf"\b(?:{IBAN_BY_LENGTH})\b"
 _NATIONAL = r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b"
 
 _JOINED = "array_to_string(list_transform({0}, lambda s: s.kind || ':' || s.start || ':' || (s.start + length(s.v))), ',')"
 
+_ID_WORDS = context_pattern(CONTEXT_WORDS["national_id"])
+_ALL1 = "list_concat(list_concat(list_concat(email, ip), list_concat(card, phone)), list_concat(iban, national_id))"
+_POINTS = " ".join(
+    f"WHEN '{rule.kind}' THEN {round(rule.certainty * 1000)} + "
+    f"300 * regexp_matches(s.around, '{context_pattern(CONTEXT_WORDS[rule.kind])}')::INT"
+    for rule in PII_RULES
+)
+
 OP1 = f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 f AS (SELECT doc_id,
@@ -42,12 +53,13 @@ f AS (SELECT doc_id,
     CASE WHEN regexp_matches(t, '[0-9]([ -]?[0-9]){{15}}') THEN {_spans("card", 2, _CARD, f"length({_DIGITS}) BETWEEN 16 AND 19 AND {_LUHN}")} ELSE [] END AS card,
     CASE WHEN contains(t, '+') THEN {_spans("phone", 3, _PHONE, f"length({_DIGITS}) BETWEEN 8 AND 15")} ELSE [] END AS phone,
     CASE WHEN regexp_matches(t, '[A-Z]{{2}}[0-9]{{2}} ?[A-Z0-9]') THEN {_spans("iban", 4, _IBAN, _MOD97)} ELSE [] END AS iban,
-    CASE WHEN regexp_matches(t, '[0-9]-[0-9]{{2}}-[0-9]') THEN {_spans("national_id", 5, _NATIONAL, "NOT regexp_matches(s.v, '^(000|666|9)|-00-|-0000$') AND regexp_matches(s.around, 'ssn|social security|national id|tax id')")} ELSE [] END AS national_id
+    CASE WHEN regexp_matches(t, '[0-9]-[0-9]{{2}}-[0-9]') THEN {_spans("national_id", 5, _NATIONAL, "NOT regexp_matches(s.v, '^(000|666|9)|-00-|-0000$') AND regexp_matches(s.around, '{_ID_WORDS}')")} ELSE [] END AS national_id
     FROM d)
 SELECT doc_id, len(email)::BIGINT AS n_email, len(ip)::BIGINT AS n_ip, len(card)::BIGINT AS n_card,
     len(phone)::BIGINT AS n_phone,
     sha256({_JOINED.format("list_concat(list_concat(email, ip), list_concat(card, phone))")}) AS base_sha256,
-    {_JOINED.format("list_concat(list_concat(list_concat(email, ip), list_concat(card, phone)), list_concat(iban, national_id))")} AS spans
+    {_JOINED.format(_ALL1)} AS spans,
+    array_to_string(list_transform({_ALL1}, lambda s: least(1000, CASE s.kind {_POINTS} END)), ',') AS scores
 FROM f
 """
 

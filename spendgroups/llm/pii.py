@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+import re
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -23,7 +24,32 @@ EMAIL = rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?+[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?+[A-Z0-9]){11,30}+(?![A-Za-z0-9])"
+# How long the account numbers of a country are.
+IBAN_LENGTHS = {
+    15: "NO",
+    16: "BE",
+    18: "DK FI FK FO GL NL SD",
+    19: "MK SI",
+    20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST",
+    26: "IS TR",
+    27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HU LB NI PL SV",
+    29: "BR EG PS QA UA",
+    30: "JO KW MU",
+    31: "MT SC",
+    32: "LC",
+    33: "RU",
+}
+IBAN_BY_LENGTH = "|".join(
+    rf"(?:{codes.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}"
+    for n, codes in IBAN_LENGTHS.items()
+)
+IBAN = rf"(?<![A-Za-z0-9])(?:{IBAN_BY_LENGTH})(?![A-Za-z0-9])"
 NATIONAL_ID = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 
 _PART = "0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
@@ -34,7 +60,7 @@ CONTEXT_WORDS = {
     "email": ("mail", "contact", "write to"),
     "ip": ("address", "host", "server"),
     "card": ("card", "visa", "payment"),
-    "phone": ("phone", "call", "mobile", "tel"),
+    "phone": ("phone", "telephone", "call", "mobile", "tel"),
     "iban": ("iban", "account", "bank", "konto", "cuenta", "compte"),
     "national_id": ("ssn", "social security", "national id", "tax id"),
 }
@@ -119,18 +145,23 @@ def _test(rule: Rule) -> Callable[[Column], Column]:
     return lambda s: F.coalesce(rule.confirmed(s["value"]), F.lit(False))
 
 
+def context_pattern(words: Iterable[str]) -> str:
+    """Matches lower-case text that has one of ``words`` as a whole word."""
+    return rf"(?:^|[^a-z0-9])(?:{'|'.join(re.escape(w) for w in words)})(?:[^a-z0-9]|$)"
+
+
 def _score(rule: Rule, words: tuple[str, ...]) -> Callable[[Column], Column]:
     def scored(s: Column) -> Column:
         score = F.lit(rule.certainty)
         if words:
             around = F.lower(F.concat(s["before"], F.lit(" "), s["after"]))
-            score = score + F.when(around.rlike("|".join(words)), 0.3).otherwise(0.0)
+            score = score + F.when(around.rlike(context_pattern(words)), 0.3).otherwise(0.0)
         return F.struct(
             F.lit(rule.kind).alias("kind"),
             s["start"].alias("start"),
             s["end"].alias("end"),
             s["value"].alias("value"),
-            F.round(score, 3).alias("score"),
+            F.round(F.least(score, F.lit(1.0)), 3).alias("score"),
         )
 
     return scored
@@ -146,8 +177,9 @@ def find_pii(
     """Add ``out``: an array of (kind, start, end, value, score), by kind, then start.
 
     Places are code points, the end exclusive. A span that its checksum or range test
-    confirms gets the certainty of its kind; a context word within 48 characters adds
-    0.3. Spans below ``threshold`` go; those of the four base kinds are certain enough
+    confirms gets the certainty of its kind; a context word, as a whole word within 48
+    characters, adds 0.3, up to 1. Account numbers are as long as their country makes them,
+    so words after one are no part of it; other countries have none. Spans below ``threshold`` go; those of the four base kinds are certain enough
     without context. Matches of different kinds may overlap; one kind's do not.
 
     A text that is NULL or empty has no spans. Each row is judged by itself: row
@@ -212,7 +244,8 @@ def redact(docs: DataFrame, text: str = "text", spans: str = "pii") -> DataFrame
 
 
 def pii_digest(docs: DataFrame) -> DataFrame:
-    """Per document the counts of the base kinds and digests of all places."""
+    """Per document the counts of the base kinds, digests of all places and, in the same
+    order, the scores in thousandths."""
     found = find_pii(docs.select("doc_id", "text"))
 
     def of(kind: str) -> Column:
@@ -224,4 +257,7 @@ def pii_digest(docs: DataFrame) -> DataFrame:
         *[F.size(of(kind)).cast("bigint").alias(f"n_{kind}") for kind in BASE_KINDS],
         F.sha2(joined(base), 256).alias("base_sha256"),
         joined(F.col("pii")).alias("spans"),
+        F.array_join(
+            F.transform("pii", lambda s: F.round(s["score"] * 1000).cast("int").cast("string")), ","
+        ).alias("scores"),
     )

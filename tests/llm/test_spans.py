@@ -95,6 +95,25 @@ def test_checksums_and_context_decide_about_further_kinds(documents):
     assert found[2] == [("national_id", "123-45-6789")]
 
 
+def test_account_numbers_end_where_their_country_says(documents):
+    texts = ["DE89 3704 0044 0532 0130 00 BIC COBADEFF", "DE89370400440532013000 BIC COBADEFF",
+             "DE893704004405320130 00X", "ZZ89370400440532013000", "GB82 WEST 1234 5698 7654 32 NO93 8601 1117 947"]
+    rows = find_pii(documents(texts)).orderBy("doc_id").collect()
+    found = [[s.value for s in r.pii if s.kind == "iban"] for r in rows]
+    assert found == [[texts[0][:27]], [texts[1][:22]], [], [],
+                     ["GB82 WEST 1234 5698 7654 32", "NO93 8601 1117 947"]]
+
+
+def test_context_words_are_whole_words_and_no_patterns(documents):
+    texts = ["classname 123-45-6789", "SSN: 123-45-6789", "ssns 123-45-6789", "hotel +1 555 123 4567",
+             "tel. +1 555 123 4567"]
+    rows = pii_digest(documents(texts)).orderBy("doc_id").collect()
+    assert [r.scores for r in rows] == ["", "600", "", "700", "1000"]
+    words = {"national_id": ("n.o", "(")}
+    rows = find_pii(documents(["nxo 123-45-6789", "n.o 123-45-6789", "( 123-45-6789"]), context_words=words)
+    assert [len(r.pii) for r in rows.orderBy("doc_id").collect()] == [0, 1, 1]
+
+
 def test_context_raises_the_score(documents):
     rows = find_pii(documents(["call +1 555 123 4567", "see +1 555 123 4567"])).orderBy("doc_id")
     scores = [r.pii[0].score for r in rows.collect()]
