@@ -377,6 +377,13 @@ ORACLE_SQL = {
         SELECT CAST(AnnualIncome AS BIGINT) AS x_bin, CAST(SpendingScore AS BIGINT) AS y_bin,
                group_id, COUNT(*) AS n
         FROM grouped GROUP BY ALL""",
+    "points_pyramid": """
+        SELECT factor, CAST(floor(o_totalprice / (100 * factor)) AS BIGINT) AS x_bin,
+               CAST(floor(o_custkey / (100 * factor)) AS BIGINT) AS y_bin, o_orderstatus,
+               COUNT(*) AS n
+        FROM orders, (SELECT CAST(unnest([1, 10, 100, 1000]) AS INTEGER) AS factor)
+        WHERE o_totalprice IS NOT NULL AND o_custkey IS NOT NULL
+        GROUP BY ALL""",
     "standardize": f"""WITH {PROFILE}, scale AS (
           SELECT AVG(AnnualIncome) AS mi, STDDEV_SAMP(AnnualIncome) AS si,
                  AVG(SpendingScore) AS ms, STDDEV_SAMP(SpendingScore) AS ss FROM profile)

@@ -406,6 +406,14 @@ def points_by_group(spark, folder):
     return distributions.point_grid(_grouped_blobs(spark, folder), by="group_id")
 
 
+@query
+def points_pyramid(spark, folder):
+    orders = fixtures.table(spark, folder, "orders")
+    return distributions.point_pyramid(
+        orders, "o_totalprice", "o_custkey", "o_orderstatus", 100.0, (1, 10, 100, 1000)
+    )
+
+
 # Scaling and K-means
 
 

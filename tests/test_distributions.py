@@ -147,6 +147,36 @@ def test_counts_and_grid(customers):
     assert d.point_grid(table, by="Gender", width=2.0).first().x_bin == 2
 
 
+def test_pyramid_levels_equal_grids_of_their_width(table):
+    cols = ("AnnualIncome", "AnnualIncome", "g")
+    found = d.point_pyramid(table, *cols, width=0.5, factors=(1, 3, 8))
+    rows = sorted(map(repr, map(tuple, found.collect())))
+    wanted = [(f, *r) for f in (1, 3, 8) for r in d.point_grid(table, *cols, width=0.5 * f).collect()]
+    assert rows == sorted(map(repr, wanted))
+    fresh = d.point_pyramid(table, *cols)._jdf.queryExecution().executedPlan().toString()
+    assert fresh.count("Scan") == 1
+
+
+def test_density_of_outliers_copies_and_shifted_values(spark, path):
+    rng = np.random.default_rng(3)
+    sets = {
+        "tails": np.r_[rng.normal(size=2000), 400.0, -900.0],
+        "far": 1e9 + rng.integers(0, 7, 3000),
+        "two": np.r_[np.zeros(900), 1.0],
+    }
+    for values in sets.values():
+        frame = spark.createDataFrame([(float(v),) for v in values], "x double")
+        rows = d.density_curve(frame, ["x"]).orderBy("point").collect()
+        x = np.linspace(values.min(), values.max(), 200)
+        width = values.std(ddof=1) * len(values) ** -0.2
+        scale = len(values) * width * np.sqrt(2 * np.pi)
+        u = (x[:, None] - values[None, :]) / width
+        wanted = np.exp(-u * u / 2).sum(axis=1) / scale
+        found = np.array([r.density for r in rows])
+        assert np.abs(found - wanted).max() * scale < 1e-9 * len(values)
+        assert found.min() > -1e-15 / width
+
+
 def test_no_cross_join_or_driver_rows(table, path):
     cols = ["AnnualIncome", "SpendingScore"]
     frames = [d.box_stats(table, cols, by="g"), d.density_curve(table, cols)]
