@@ -11,9 +11,10 @@ from pyspark.sql import types as T
 
 from spendgroups.functions.numbers import number
 from spendgroups.schema import NUMERIC
+from spendgroups.session import broadcast_if_few, stored
 
 
-def _missing(field: T.StructField) -> Column:
+def missing_cells(field: T.StructField) -> Column:
     value = F.col(field.name)
     absent = value.isNull()
     if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
@@ -72,18 +73,61 @@ def _unfolded(df: DataFrame, entries: Sequence[Column]) -> DataFrame:
 
 def missing_counts(df: DataFrame) -> DataFrame:
     """NULL or NaN cells of every column: ``(column, n_missing)``."""
-    return _unfolded(df, [_missing(field) for field in df.schema])
+    return _unfolded(df, [missing_cells(field) for field in df.schema])
+
+
+def _holds_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _holds_map(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return any(_holds_map(field.dataType) for field in kind)
+    return isinstance(kind, (T.MapType, T.VariantType))
+
+
+def row_address(df: DataFrame) -> Column:
+    """128 bits that are equal for equal rows, as a struct of two numbers.
+
+    Hashes pass over NULL, so which cells are NULL goes in too. Columns that cannot be
+    hashed take no part.
+    """
+    cells = [F.col(f"`{f.name}`") for f in df.schema if not _holds_map(f.dataType)]
+    cells.append(F.array(*[F.col(f"`{c}`").isNull() for c in df.columns]))
+    return F.struct(
+        F.xxhash64(*cells).alias("high"), F.xxhash64(F.lit(1), *cells).alias("low")
+    )
 
 
 def duplicate_count(df: DataFrame) -> DataFrame:
-    """Rows, and rows beyond the first of equal ones: ``(n_rows, n_duplicates)``."""
-    return (
-        df.groupBy(*df.columns)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .agg(
-            F.coalesce(F.sum("_n"), F.lit(0)).alias("n_rows"),
-            F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("n_duplicates"),
-        )
+    """Rows, and rows beyond the first of equal ones: ``(n_rows, n_duplicates)``.
+
+    Row addresses are counted first. Only rows whose address repeats are compared cell by
+    cell, so a table without duplicates has none of its cells shuffled. NULL equals NULL
+    and NaN equals NaN; a table without columns or rows counts as it stands.
+    """
+    if not df.columns:
+        n = F.count(F.lit(1))
+        return df.agg(n.alias("n_rows"), F.greatest(n - 1, F.lit(0)).alias("n_duplicates"))
+    counted = df.select(row_address(df).alias("_address")).groupBy("_address")
+    counted = counted.agg(F.count(F.lit(1)).alias("_n"))
+    # Addresses that do not repeat become one row before they are shuffled again.
+    again = F.when(F.col("_n") > 1, F.col("_address")).alias("_address")
+    counts = stored(counted.groupBy(again).agg(F.sum("_n").alias("_n")), "addresses")
+    none = F.lit(0).cast("bigint")
+    total = counts.agg(F.coalesce(F.sum("_n"), none).alias("n_rows"), none.alias("n_duplicates"))
+    repeated = counts.where(F.col("_address").isNotNull()).select("_address")
+    if repeated.isEmpty():
+        return total
+    # The address has a name that no column of the table has.
+    name = "_address"
+    while name in df.columns:
+        name += "_"
+    rows = df.withColumn(name, row_address(df)).join(
+        broadcast_if_few(repeated.withColumnRenamed("_address", name)), name, "left_semi"
+    )
+    equal = rows.groupBy(*[f"`{c}`" for c in df.columns]).agg(F.count(F.lit(1)).alias("_equal"))
+    found = equal.agg(none.alias("n_rows"), F.sum(F.col("_equal") - 1).alias("n_duplicates"))
+    return total.unionByName(found).agg(
+        F.sum("n_rows").alias("n_rows"), F.sum("n_duplicates").alias("n_duplicates")
     )
 
 
@@ -108,7 +152,7 @@ def table_overview(df: DataFrame, cols: Sequence[str] = NUMERIC) -> DataFrame:
     One row with arrays: ``n_rows``, ``missing``, ``described``, ``correlations``.
     """
     parts = {
-        "missing": [_missing(field) for field in df.schema],
+        "missing": [missing_cells(field) for field in df.schema],
         "described": [_description(c) for c in cols],
         "correlations": _correlations(cols),
     }

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from spendgroups.functions.numbers import number, two_decimals
 from spendgroups.functions.strategy import strategy
-from spendgroups.operators import columns, distributions, profile, quality, scoring
+from spendgroups.operators import columns, distributions, measures, profile, quality, scoring
 from spendgroups.operators.cluster import (
     Training,
     assign_groups,
@@ -297,9 +297,7 @@ def correlation_labels(spark, folder):
     return matrix.select("a", "b", two_decimals("r").alias("label"))
 
 
-@query
-def table_overview(spark, folder):
-    overview = quality.table_overview(fixtures.profile_dirty(spark, folder))
+def _overview_rows(overview: DataFrame) -> DataFrame:
     described = F.inline("described").alias("column", "n", "mean", "sd", "min", "max")
     table = overview.select(
         "n_rows",
@@ -314,6 +312,24 @@ def table_overview(spark, folder):
     return rounded(table, ["r_age_income", "mean", "sd"])
 
 
+@query
+def table_overview(spark, folder):
+    return _overview_rows(quality.table_overview(fixtures.profile_dirty(spark, folder)))
+
+
+@query
+def overview_after_append(spark, folder):
+    """Measures kept of two files' worth of customers, after the second was added."""
+    root = new_folder(spark, "kept")
+    dirty = fixtures.profile_dirty(spark, folder)
+    third = F.col(CUSTOMER_ID) % 3 == 0
+    dirty.where(~third).write.parquet(f"{root}/rows")
+    measures.kept_overview(spark.read.parquet(f"{root}/rows"), f"{root}/rows", f"{root}/store")
+    dirty.where(third).write.mode("append").parquet(f"{root}/rows")
+    table = spark.read.parquet(f"{root}/rows")
+    return _overview_rows(measures.kept_overview(table, f"{root}/rows", f"{root}/store"))
+
+
 # Distributions
 
 

@@ -1,6 +1,8 @@
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
+from spendgroups import session
 from spendgroups.operators import quality
 from spendgroups.schema import NUMERIC
 
@@ -25,6 +27,25 @@ def test_duplicates_treat_nan_and_null_as_equal(spark):
     assert tuple(quality.duplicate_count(table).first()) == (6, 3)
 
 
+def test_duplicates_are_compared_cell_by_cell(spark, monkeypatch):
+    rows = [(None, "a", {1: 2}), ("a", None, {1: 2}), ("a", None, {1: 2}), ("a", None, {1: 3})]
+    table = spark.createDataFrame(rows, "`a.b` string, _address string, m map<int, int>")
+    assert tuple(quality.duplicate_count(table).first()) == (4, 1)
+    # Addresses that all clash cost time, never a row.
+    monkeypatch.setattr(quality, "row_address", lambda df: F.struct(F.lit(1).alias("high")))
+    assert tuple(quality.duplicate_count(table).first()) == (4, 1)
+    monkeypatch.setattr(session, "FEW_LISTED", 0)
+    assert tuple(quality.duplicate_count(table).first()) == (4, 1)
+
+
+def test_only_repeated_rows_are_shuffled(spark):
+    texts = spark.range(1000).select("id", F.repeat(F.lit("long"), 50).alias("text"))
+    plan = quality.duplicate_count(texts)._jdf.queryExecution().executedPlan().toString()
+    assert "text" not in plan
+    twice = texts.unionByName(texts.where("id < 3"))
+    assert tuple(quality.duplicate_count(twice).first()) == (1003, 3)
+
+
 def test_empty_table(customers):
     empty = customers((1, 1, 1)).where("false")
     assert tuple(quality.duplicate_count(empty).first()) == (0, 0)
