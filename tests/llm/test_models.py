@@ -161,6 +161,26 @@ def test_toxicity_of_held_out_documents(spark):
     assert all(abs(again[r.doc_id] - r.score) < 1e-9 for r in found)
 
 
+def test_copies_of_a_text_count_once_and_stay_together(spark):
+    rows = [(0, "vile words", 1)] * 50 + [(1, "vile words", 0), (2, None, 0), (3, "", 0), (4, "fair words", 0)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    once = {r.text: r.toxic for r in toxicity._texts_once(table).collect()}
+    assert once == {"vile words": 1, "": 0, "fair words": 0}
+    keys = [r._key for r in toxicity._texts_once(labelled(spark)[0]).collect()]
+    assert all(0 <= key < 1 for key in keys) and 0.4 < sum(keys) / len(keys) < 0.6
+
+
+def test_all_texts_but_the_calibration_are_counted(spark, monkeypatch):
+    table, rows = labelled(spark, 400)
+    words = sum(len(text.split()) for _, text, _ in rows)
+    seen = []
+    learn = toxicity.learn_models
+    monkeypatch.setattr(toxicity, "learn_models", lambda c, *a: seen.append(c) or learn(c, *a))
+    toxicity.learn_toxicity(table, fitted=20)
+    counted = seen[0].agg(F.sum(F.col("ordinary") + F.col("toxic"))).first()[0]
+    assert 0.85 * words < counted < words
+
+
 def test_toxicity_odd_rows(spark):
     table, _ = labelled(spark, 60)
     more = spark.createDataFrame([(None, "vile", None), (900, None, 1), (901, "", 0), (902, "x" * 9000 + " vile", None)], table.schema)
