@@ -12,7 +12,7 @@ from spendgroups.session import new_folder
 _ROOT = str(Path(__file__).resolve().parents[2])
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back.
 
     Cuts the lineage, so that a lost executor costs no more than its own tasks,
@@ -20,7 +20,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_folder(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
