@@ -9,7 +9,11 @@ from multiprocessing.pool import ThreadPool
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.feature import StandardScaler, StandardScalerModel, VectorAssembler
+from pyspark.mllib.clustering import KMeans as RowKMeans
+from pyspark.mllib.clustering import KMeansModel as Centres
+from pyspark.mllib.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +36,8 @@ from spendgroups.session import new_folder, remove_folder
 
 # Fits of a sweep that run at the same time.
 AT_ONCE = 4
+# Different rows among which starts are chosen.
+START_ROWS = 1000
 
 
 @dataclass
@@ -139,6 +145,64 @@ class Training:
     def kmeans(self, k: int, seed: int = SEED) -> KMeansModel:
         return kmeans_stage(_checked_k(k), seed).fit(self.rows)
 
+    def starts(self, k: int, seed: int = SEED) -> list[list[float]]:
+        """Scaled start centres that the rows and the seed alone decide.
+
+        Of the different pairs of features, those with the smallest hashes are a sample of
+        ``START_ROWS``; each start is the one of them farthest from the starts before it.
+        """
+        pairs = self.rows.select(*FEATURES).distinct()
+        lot = F.xxhash64(*FEATURES, F.lit(seed))
+        chosen = pairs.orderBy(lot, *FEATURES).limit(START_ROWS).collect()
+        scaler = self.scaling.stages[-1]
+        scaled = [
+            [(x - m) / s if s else 0.0 for x, m, s in zip(row, scaler.mean, scaler.std)]
+            for row in chosen
+        ]
+        starts, far = scaled[:1], [float("inf")] * len(scaled)
+        while len(starts) < min(k, len(scaled)):
+            last = starts[-1]
+            # Rounded, as the last digits of the scaling depend on the order of its sums.
+            gaps = [round(sum((a - b) ** 2 for a, b in zip(p, last)), 9) for p in scaled]
+            far = [min(a, b) for a, b in zip(far, gaps)]
+            starts.append(scaled[max(range(len(scaled)), key=far.__getitem__)])
+        return starts
+
+    def kmeans_from_rows(self, k: int, seed: int = SEED) -> tuple[KMeansModel, float]:
+        """A fit from ``starts``, by the library's K-means, and its cost.
+
+        Spark takes given starts only for vectors of rows, so the two numbers of each row
+        go through Python once; the iterations do not. With fewer than ``k`` different rows
+        there are fewer centres.
+        """
+        starts = self.starts(_checked_k(k), seed)
+        z = self.rows.select(vector_to_array(SCALED).alias("z"))
+        vectors = z.rdd.map(lambda row: Vectors.dense(row["z"])).persist(
+            StorageLevel.MEMORY_AND_DISK
+        )
+        try:
+            stage = kmeans_stage(k, seed)
+            fitted = RowKMeans.train(
+                vectors,
+                len(starts),
+                maxIterations=stage.getMaxIter(),
+                epsilon=stage.getTol(),
+                initialModel=Centres(starts),
+            )
+            cost = float(fitted.computeCost(vectors))
+        finally:
+            vectors.unpersist()
+        jvm, gateway = self.spark._jvm, self.spark.sparkContext._gateway
+        held = jvm.java.util.ArrayList()
+        for centre in fitted.clusterCenters:
+            numbers = gateway.new_array(jvm.double, len(centre))
+            for i, x in enumerate(centre):
+                numbers[i] = float(x)
+            held.add(jvm.org.apache.spark.mllib.linalg.Vectors.dense(numbers))
+        inner = jvm.org.apache.spark.mllib.clustering.KMeansModel(held)
+        model = KMeansModel(jvm.org.apache.spark.ml.clustering.KMeansModel(stage.uid, inner))
+        return stage._copyValues(model), cost
+
     def sweep(
         self, ks: Iterable[int], seed: int = SEED, at_once: int = AT_ONCE
     ) -> dict[int, KMeansModel]:
@@ -156,12 +220,18 @@ class Training:
             self.rows.unpersist()
             self.rows = rows
 
-    def fit(self, k: int = K_DEFAULT, seed: int = SEED) -> GroupModel:
-        kmeans = self.kmeans(k, seed)
+    def fit(
+        self, k: int = K_DEFAULT, seed: int = SEED, start_from_rows: bool = False
+    ) -> GroupModel:
+        if start_from_rows:
+            kmeans, cost = self.kmeans_from_rows(k, seed)
+        else:
+            kmeans = self.kmeans(k, seed)
+            cost = float(kmeans.summary.trainingCost)
         model = GroupModel(
             PipelineModel([*self.scaling.stages, kmeans]),
             k,
-            cost=float(kmeans.summary.trainingCost),
+            cost=cost,
             n_rows=self.n_rows,
             domain=self.domain,
         )
@@ -189,12 +259,18 @@ class Training:
         return model
 
 
-def fit_groups(df: DataFrame, k: int = K_DEFAULT, seed: int = SEED) -> GroupModel:
-    """Fit on all rows that have both features."""
+def fit_groups(
+    df: DataFrame, k: int = K_DEFAULT, seed: int = SEED, start_from_rows: bool = False
+) -> GroupModel:
+    """Fit on all rows that have both features.
+
+    Spark's own start depends on how the rows are partitioned; ``start_from_rows`` begins
+    at rows chosen by a hash of their values and the seed instead.
+    """
     _checked_k(k)
     training = Training(df)
     try:
-        return training.fit(k, seed)
+        return training.fit(k, seed, start_from_rows)
     finally:
         training.release()
 

@@ -547,3 +547,5 @@ ORACLE_SQL = {
 
 # Keeping measures changes how an overview is found, not what it says.
 ORACLE_SQL["overview_after_append"] = ORACLE_SQL["table_overview"]
+ORACLE_SQL["fit_from_rows"] = f"""WITH {PROFILE}
+    SELECT COUNT(*) AS n_rows, CAST(5 AS BIGINT) AS n_groups, TRUE AS agree FROM profile"""

@@ -510,6 +510,23 @@ def elbow_sweep_all(spark, folder):
     )
 
 
+@query
+def fit_from_rows(spark, folder):
+    """Fits with starts from the rows, from 1 and 7 partitions: do they agree, and do their
+    groups hold all rows?"""
+    table = fixtures.loaded_profile(spark, folder)
+    first, other = (fit_groups(table.repartition(n), 5, start_from_rows=True) for n in (1, 7))
+
+    def centres(model):
+        return sorted([round(x, 6) for x in centre] for centre in model.centres())
+
+    agree = centres(first) == centres(other) and abs(first.cost - other.cost) < 1e-6 * first.cost
+    grouped = assign_groups(table, first).groupBy("group_id").agg(F.count(F.lit(1)).alias("n"))
+    return grouped.agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_groups")).withColumn(
+        "agree", F.lit(agree)
+    )
+
+
 @query
 def group_report(spark, folder):
     report = profile.group_report(_grouped_blobs(spark, folder))

@@ -9,6 +9,7 @@ from spendgroups import session
 from spendgroups.operators import cluster as c
 from spendgroups.operators import profile, scoring
 from spendgroups.plans import fixtures
+from spendgroups.sources import models
 
 KNOWN = {0: (25, 20), 1: (25, 80), 2: (55, 50), 3: (88, 17), 4: (88, 82)}
 
@@ -144,3 +145,24 @@ def test_scoring(customers, blobs):
     bare = c.GroupModel(model.pipeline, 5)
     again = scoring.score_customers(table, bare)[0].orderBy("CustomerID").collect()
     assert [r.group_strategy for r in again] == ["vip", "standard", "saver"]
+
+
+def test_starts_from_rows_do_not_depend_on_partitions(spark, folder):
+    table = fixtures.loaded_profile(spark, folder)
+    fits = [c.fit_groups(table.repartition(n), 4, start_from_rows=True) for n in (1, 2, 4, 7)]
+    for fit in fits[1:]:
+        assert [g["n_rows"] for g in fit.groups] == [g["n_rows"] for g in fits[0].groups]
+        assert fit.cost == pytest.approx(fits[0].cost)
+    # One different row gives one group.
+    few = table.limit(1).unionByName(table.limit(1))
+    assert len(c.fit_groups(few, 3, start_from_rows=True).groups) == 1
+
+
+def test_model_from_row_starts_is_saved_and_loaded(spark, folder, tmp_path):
+    blobs = fixtures.blobs(spark, folder)
+    model = c.fit_groups(blobs, 5, start_from_rows=True)
+    assert model.cost == pytest.approx(c.fit_groups(blobs, 5).cost)
+    models.save_model(spark, model, "five", "notebook", str(tmp_path))
+    loaded = models.load_model(spark, "five", str(tmp_path))
+    assert sorted(map(tuple, loaded.centres())) == sorted(map(tuple, model.centres()))
+    assert c.assign_groups(blobs, loaded).groupBy("group_id").count().count() == 5
