@@ -148,6 +148,42 @@ def test_ratios_equal_plain_kneser_ney(spark, monkeypatch):
         assert np.allclose(model.ratios(toxicity._pairs(pa.array([text]))[0]), plain, atol=1e-6)
 
 
+def test_expressions_that_tasks_do_not_hold_count_as_well(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "LEAST_PAIRS", 3)
+    table, _ = labelled(spark, 400)
+    extra = [(1000 + i, "seldom evil w1 w2", 1) for i in range(5)]
+    table = table.unionByName(spark.createDataFrame(extra, table.schema))
+    counts = toxicity.pair_counts(table).cache()
+    text = pa.array(["w5 seldom evil", "vile w1 w2 w3", ""])
+    pairs = toxicity._pairs(text)[0]
+    # No word makes up this share; each still says what it says in a model that is held.
+    whole = toxicity.learn_models(counts, 0.5)
+    assert whole.rest is None and whole.ratios(pairs)[1] > 2
+    split = toxicity.learn_models(counts, 0.5, None, 0)
+    assert split.rest.count() > 50 and len(split.word_p) == 0
+    docs = table.select("doc_id", "text").unionByName(
+        spark.createDataFrame([(None, None), (7, ""), (7, "w9 new words")], "doc_id long, text string")
+    )
+    columns = ("doc_id", "text", "features")
+    one = toxicity.with_features(docs, whole).select(*columns).collect()
+    two = toxicity.with_features(docs, split).select(*columns).collect()
+    assert len(one) == len(two) == docs.count()
+    by_text = {r.text: r.features for r in one}
+    assert all(np.allclose(by_text[r.text], r.features, atol=1e-12) for r in two)
+    middle = toxicity.learn_models(counts, 0.003, None, 0)
+    assert len(middle.word_p) and middle.rest.count()
+    three = toxicity.with_features(docs, middle).select(*columns).collect()
+    assert all(np.allclose(by_text[r.text], r.features, atol=1e-12) for r in three)
+
+
+def test_scores_do_not_depend_on_what_tasks_hold(spark):
+    table, _ = labelled(spark, 300)
+    docs, labels = table.select("doc_id", "text"), table.select("doc_id", "toxic")
+    one = {r.doc_id: r.score for r in toxicity.toxicity_scores(docs, labels).collect()}
+    two = toxicity.toxicity_scores(docs, labels, 0.01, held=0).collect()
+    assert len(two) == len(one) and all(abs(one[r.doc_id] - r.score) < 1e-9 for r in two)
+
+
 def test_toxicity_of_held_out_documents(spark):
     table, rows = labelled(spark)
     truth = {i: label for i, _, label in rows}
