@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendgroups.llm.blocks import groups, in_block_pairs
+from spendgroups.llm.blocks import in_block_pairs, whole_groups
 from spendgroups.llm.components import connected_components
 from spendgroups.llm.hashing import mixed
 from spendgroups.llm.tables import stored
@@ -31,6 +31,10 @@ PROBES = 2
 # Spread of the projections of unit vectors, in units of the lattice.
 SPREAD = 0.5625
 BLOCK = 1024
+# Groups of up to so many vectors are verified many at a time, in gathered pairs of about so
+# many components.
+SMALL = 24
+GATHERED = 1 << 18
 
 
 def _even_points(x: np.ndarray) -> np.ndarray:
@@ -122,23 +126,76 @@ def _cell_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 )
 
 
-def _verify(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
-    for group in groups(batches, ["cell", "block_i", "block_j"]):
-        keys, own = group["key"].to_numpy(), group["own"].to_numpy() == 1
-        side = group["side"].to_numpy()
-        one_block = group["block_i"][0].as_py() == group["block_j"][0].as_py()
-        units = list(_units(group["embedding"].combine_chunks()))
-        for at, unit in units:
-            left = np.arange(len(at)) if one_block else np.flatnonzero(side[at] == 0)
-            right = left if one_block else np.flatnonzero(side[at] == 1)
-            near = unit[left] @ unit[right].T >= least - 1e-9
-            near &= own[at[left]][:, None] | own[at[right]][None, :]
+def _pairs_in(
+    begins: np.ndarray, sizes: np.ndarray, at_once: int
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of all pairs within groups, given where they begin; about ``at_once`` at a time."""
+    ends = np.repeat(begins + sizes, sizes)
+    rows = np.repeat(begins - np.r_[0, np.cumsum(sizes)][:-1], sizes) + np.arange(sizes.sum())
+    after = ends - rows - 1
+    total = np.cumsum(after)
+    i, done = 0, 0
+    while i < len(rows):
+        j = max(i + 1, int(np.searchsorted(total, done + at_once, "right")))
+        first = np.repeat(rows[i:j], after[i:j])
+        second = first + 1 + np.arange(len(first))
+        second -= np.repeat(total[i:j] - after[i:j] - done, after[i:j])
+        if len(first):
+            yield first, second
+        i, done = j, total[j - 1]
+
+
+def _close(
+    unit: np.ndarray, own: np.ndarray, side: np.ndarray, begins: np.ndarray, least: float
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of places in the same group, one of them in its own cell, whose cosine may be
+    ``least``. Groups lie one behind the other; in a group of two blocks, a pair has one of
+    each, which ``side`` tells (-1 in a group of one block)."""
+    sizes = np.diff(np.r_[begins, len(unit)])
+    small = sizes <= SMALL
+    at_once = max(1, GATHERED // unit.shape[1])
+    for i, j in _pairs_in(begins[small], sizes[small], at_once):
+        meet = (own[i] | own[j]) & ((side[i] < 0) | (side[i] != side[j]))
+        i, j = i[meet], j[meet]
+        near = np.einsum("ij,ij->i", unit[i], unit[j]) >= least - 1e-9
+        yield i[near], j[near]
+    for start, size in zip(begins[~small], sizes[~small]):
+        rows = np.arange(start, start + size)
+        one_block = side[start] < 0
+        left = rows if one_block else rows[side[rows] == 0]
+        right = rows if one_block else rows[side[rows] == 1]
+        if not len(right):
+            continue
+        strip = -(-at_once // len(right))
+        for k in range(0, len(left), strip):
+            # In one block, each pair once: of a row and those behind it.
+            across = right[k:] if one_block else right
+            some = left[k : k + strip]
+            near = unit[some] @ unit[across].T >= least - 1e-9
+            near &= own[some][:, None] | own[across][None, :]
             i, j = np.nonzero(near)
-            a, b = left[i], right[j]
-            cosine = dots(unit[a], unit[b])
-            x, y = keys[at[a]], keys[at[b]]
-            good = (cosine >= least) & (x != y)
-            pairs = np.unique(np.c_[np.minimum(x, y)[good], np.maximum(x, y)[good]], axis=0)
+            i, j = some[i], across[j]
+            yield (i[i < j], j[i < j]) if one_block else (i, j)
+
+
+def _verify(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
+    for rows in whole_groups(batches, ["cell", "block_i", "block_j"]):
+        names = [rows[c].to_numpy() for c in ("cell", "block_i", "block_j")]
+        keys, own = rows["key"].to_numpy(), rows["own"].to_numpy() == 1
+        side = np.where(names[1] == names[2], -1, rows["side"].to_numpy())
+        for at, unit in _units(rows["embedding"].combine_chunks()):
+            changed = np.zeros(len(at) - 1, bool)
+            for name in names:
+                changed |= name[at][1:] != name[at][:-1]
+            begins = np.r_[0, np.flatnonzero(changed) + 1]
+            found = [np.zeros((0, 2), np.int64)]
+            for a, b in _close(unit, own[at], side[at], begins, least):
+                x, y = keys[at[a]], keys[at[b]]
+                good = (dots(unit[a], unit[b]) >= least) & (x != y)
+                found.append(np.c_[np.minimum(x, y)[good], np.maximum(x, y)[good]])
+            pairs = np.concatenate(found)
+            pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
+            pairs = pairs[np.r_[True, (pairs[1:] != pairs[:-1]).any(axis=1)][: len(pairs)]]
             if len(pairs):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["a", "b"]

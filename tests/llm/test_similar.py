@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -160,6 +161,40 @@ def test_near_vectors_against_brute_force(spark, monkeypatch):
     assert all(r.kept == (r.vec_id == r.component_id) for r in found.values())
 
 
+def test_small_groups_are_checked_many_at_a_time():
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(40, 8))
+    sizes = [2] * 2000 + [1, 5, 70, 3, 90]
+    rows, groups = [], []
+    for g, size in enumerate(sizes):
+        two = g % 3 == 0 and size > 2
+        for _ in range(size):
+            v = base[rng.integers(0, 40)] + rng.normal(size=8) * 0.3
+            rows.append((g, 0, int(two), int(two and rng.random() < 0.5), len(rows), int(rng.random() < 0.5), v.tolist()))
+    names = ["cell", "block_i", "block_j", "side", "key", "own", "embedding"]
+    types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int8(), pa.list_(pa.float64())]
+    columns = [pa.array(c, t) for c, t in zip(zip(*rows), types)]
+    table = pa.RecordBatch.from_arrays(columns, names)
+    cut = [table.slice(i, 777) for i in range(0, len(rows), 777)]
+    found = list(lattice._verify(iter(cut), 0.9))
+    # One by one, they were as many batches as groups with links.
+    assert len(found) < 10
+    true = set()
+    unit = np.array([r[6] for r in rows])
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    start = 0
+    for g, size in enumerate(sizes):
+        for i in range(start, start + size):
+            for j in range(i + 1, start + size):
+                two_blocks = rows[i][1] != rows[i][2]
+                if (rows[i][5] or rows[j][5]) and (not two_blocks or rows[i][3] != rows[j][3]):
+                    if unit[i] @ unit[j] >= 0.9:
+                        true.add((i, j))
+        start += size
+    pairs = [p for b in found for p in zip(*b.to_pydict().values())]
+    assert len(pairs) == len(set(pairs)) and set(pairs) == true and len(true) > 50
+
+
 ODD = [(1, None, "k"), (2, [], "k"), (3, [0.0, 0.0], "k"), (4, [1.0, None], "k"),
        (5, [float("nan"), 1.0], "k"), (6, [float("inf"), 1.0], "k"), (7, [1.0, 0.0], "k"),
        (8, [2.0, 0.0], "k"), (9, [2.0, 0.0], "k"), (None, [1.0, 0.0], "k"), (10, [1.0, 0.0, 0.0], "k"),
