@@ -17,6 +17,8 @@ GROUP = 128
 # Equal rows that one task numbers at a time.
 CHUNK = 65_536
 BLANKS = "\x20\t\n\x0b\x0c\r"
+# A character of a word; a text without it has no words.
+WORD = r"[^\x20\x09-\x0D]"
 
 
 def word_count(text: Column) -> Column:

@@ -93,3 +93,22 @@ def test_equal_rows_are_taken_as_often_as_the_mixture_says(spark, documents, mon
     assert sorted((repr(r.doc_id), repr(r.source)) for r in found) == wanted
     # One row is taken once or twice more than not at all; none of them three times.
     assert max(sum(r.text == f"a b {i}" for r in found) for i in range(40)) <= 2
+
+
+def test_texts_of_evenly_taken_sources_are_not_shuffled(spark, documents):
+    # Two sources of the same size: one stops at twice its size, the other gets just its size.
+    texts = [f"some words {i}" for i in range(40)] + [None, " "]
+    sources = ["s1", None] * 21
+    docs = documents(texts, sources=sources)
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        mixed = corpus_pipeline.mix(spark, docs, "")
+        assert "hashpartitioning" not in mixed._jdf.queryExecution().executedPlan().toString()
+        found = sorted((r.doc_id, r.source or "") for r in mixed.collect())
+    finally:
+        spark.conf.set(threshold, before)
+    times = {r.doc_id: r.copies for r in mix_sources(docs).collect()}
+    assert set(times.values()) == {0, 1, 2}
+    assert found == sorted((i, sources[i] or "") for i, n in times.items() for _ in range(n))
