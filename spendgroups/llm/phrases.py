@@ -389,10 +389,14 @@ def phrase_stripes(texts: DataFrame, longest: int = LONGEST, least: int = LEAST)
 
 def _looked_up(cuts: DataFrame, counts: DataFrame, part: str) -> DataFrame:
     """``cuts`` with the count of their ``part``; a part that very many phrases have in common
-    is dealt over several tasks."""
+    is dealt over several tasks.
+
+    Neither side is broadcast: Spark would size them as before the copies of each row are made.
+    """
     salted = cuts.withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(SALTS)).cast("int"))
     every = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    return salted.join(counts.withColumn("salt", every), ["lang", part, "salt"]).drop("salt")
+    counts = counts.withColumn("salt", every).hint("merge")
+    return salted.join(counts, ["lang", part, "salt"]).drop("salt")
 
 
 def _score(n: str = "n") -> Column:

@@ -88,3 +88,12 @@ def test_long_texts_are_cut_between_pieces(monkeypatch):
     pieces = [p.split() for part in parts for p in part.split(b".") if p.split()]
     assert pieces == [p.split() for p in text.lower().encode().translate(bytes.maketrans(b";!", b"..")).split(b".")]
     assert len(parts) > 2
+
+
+def test_tables_of_counts_are_not_broadcast_by_a_guess(spark):
+    cuts = spark.createDataFrame([("en", "a b", "a"), ("en", "a c", "a")], "lang string, phrase string, head string")
+    counts = spark.createDataFrame([("en", "a", 7), ("de", "a", 8)], "lang string, head string, l long")
+    found = phrases._looked_up(cuts, counts, "head")
+    assert sorted((r.phrase, r.l) for r in found.collect()) == [("a b", 7), ("a c", 7)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
