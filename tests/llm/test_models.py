@@ -226,3 +226,28 @@ def test_toxicity_odd_rows(spark):
     assert len(rows) == 64 and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in rows)
     assert toxicity.toxicity_scores(docs.limit(0), labels.limit(0)).count() == 0
     assert toxicity.toxicity_scores(docs, labels.limit(0)).count() == 64
+
+
+def test_pairs_are_handed_on_in_parts(spark, monkeypatch):
+    _, rows = labelled(spark, 200)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([t for _, t, _ in rows]), pa.array([x for _, _, x in rows])], ["text", "toxic"]
+    )
+
+    def summed(batches):
+        table = pa.Table.from_batches(batches).group_by(["head", "word"])
+        return {(r["head"], r["word"]): (r["ordinary_sum"], r["toxic_sum"]) for r in table.aggregate([("ordinary", "sum"), ("toxic", "sum")]).to_pylist()}
+
+    whole = list(toxicity._count_batches(iter([batch])))
+    monkeypatch.setattr(toxicity, "PAIRS", 500)
+    monkeypatch.setattr(toxicity, "SLICE", 10)
+    parts = list(toxicity._count_batches(iter([batch])))
+    assert len(parts) > len(whole) and max(map(len, parts)) < 1500
+    assert summed(parts) == summed(whole)
+
+
+def test_texts_are_not_shuffled_for_what_tasks_do_not_hold(spark):
+    table, _ = labelled(spark, 100)
+    model = toxicity.learn_models(toxicity.pair_counts(table), 0.5, None, 0)
+    plan = toxicity.with_features(table, model)._jdf.queryExecution().executedPlan().toString()
+    assert model.rest.count() and "Join" not in plan and "Exchange" not in plan
