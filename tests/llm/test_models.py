@@ -228,6 +228,17 @@ def test_toxicity_odd_rows(spark):
     assert toxicity.toxicity_scores(docs, labels.limit(0)).count() == 64
 
 
+def test_pairs_of_a_few_occurrences_are_in_the_models(spark):
+    table, _ = labelled(spark, 200)
+    extra = [(1000 + i, f"w{i} odd pair w{9 - i}", 1) for i in range(5)]
+    extra += [(2000 + i, f"odd w{i} w{i + 9} pair", 0) for i in range(5)]
+    counts = toxicity.pair_counts(table.unionByName(spark.createDataFrame(extra, table.schema)))
+    model = toxicity.learn_models(counts.cache())
+    together, apart = (toxicity._pairs(pa.array([text]))[0] for text in ("odd pair", "pair w299 odd"))
+    # Five times toxic, never ordinary, of words that are as frequent in both classes.
+    assert model.ratios(together)[1] > model.ratios(apart)[0] + 1
+
+
 def test_pairs_are_handed_on_in_parts(spark, monkeypatch):
     _, rows = labelled(spark, 200)
     batch = pa.RecordBatch.from_arrays(
