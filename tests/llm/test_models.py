@@ -255,6 +255,9 @@ def test_pairs_are_handed_on_in_parts(spark, monkeypatch):
     parts = list(toxicity._count_batches(iter([batch])))
     assert len(parts) > len(whole) and max(map(len, parts)) < 1500
     assert summed(parts) == summed(whole)
+    passes = [summed(toxicity._count_batches(iter([batch]), i, 3)) for i in range(3)]
+    assert all(passes) and sum(map(len, passes)) == len(summed(whole))
+    assert {k: v for part in passes for k, v in part.items()} == summed(whole)
 
 
 def test_texts_are_not_shuffled_for_what_tasks_do_not_hold(spark):
